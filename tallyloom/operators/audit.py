@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tallyloom.schemas import DATA_QUALITY_LOGS
+from tallyloom.sources.parquet import create_if_missing
 
 STARTED, COMPLETED, FAILED = "STARTED", "COMPLETED", "FAILED"
 
@@ -39,27 +39,24 @@ class AuditLog:
         self.spark = spark
         self.events_path = f"{root}/audit/run_events"
         self.logs_path = f"{root}/audit/data_quality_logs"
+        create_if_missing(spark, self.events_path, EVENTS)
+        create_if_missing(spark, self.logs_path, DATA_QUALITY_LOGS.schema)
 
-    def _read(self, path: str, schema) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+    def _events(self) -> DataFrame:
+        return self.spark.read.schema(EVENTS).parquet(self.events_path)
 
     def runs(self) -> DataFrame:
-        return current_runs(self._read(self.events_path, EVENTS))
+        return current_runs(self._events())
 
     def logs(self) -> DataFrame:
-        return self._read(self.logs_path, DATA_QUALITY_LOGS.schema)
+        return self.spark.read.schema(DATA_QUALITY_LOGS.schema).parquet(self.logs_path)
 
     def _event(self, *values) -> None:
         self.spark.createDataFrame([values], EVENTS).coalesce(1).write.mode("append").parquet(self.events_path)
 
     def start(self, name: str, now: dt.datetime) -> int:
         """Open a run and return its id, one above the highest so far."""
-        last = self._read(self.events_path, EVENTS).agg(F.max("run_id")).first()[0] or 0
+        last = self._events().agg(F.max("run_id")).first()[0] or 0
         self._event(last + 1, name, STARTED, now, None, None)
         return last + 1
 

@@ -18,7 +18,8 @@ from tallyloom.operators.transforms import transform
 from tallyloom.plans import reports
 from tallyloom.plans.store import TableStore, write_staging
 from tallyloom.schemas import (
-    CUSTOMERS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PRODUCTS, SALES, SOURCE_TYPES, TABLES,
+    CUSTOMERS, DATA_QUALITY_LOGS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PIPELINE_RUNS,
+    PRODUCTS, SALES, SOURCE_TYPES, TABLES,
 )
 from tallyloom.sources.delimited import SEQ, typed
 from tallyloom.sources.extract import check_sources, read_source
@@ -71,6 +72,7 @@ class SalesJob:
         self.root = root
         self.audit = AuditLog(spark, root)
         self.store = TableStore(spark, root)
+        self.staged: dict[str, DataFrame] = {}
 
     def _land(self, layer: str, name: str, table: DataFrame) -> DataFrame:
         """Write one table of a layer, logging its row count from the same pass."""
@@ -80,10 +82,18 @@ class SalesJob:
         log.info("%s %s: %d rows", layer, name, seen.get["rows"])
         return self.spark.read.schema(table.schema).parquet(path)
 
+    def register(self) -> None:
+        """Make the stored, staged and audit tables readable by name from SQL."""
+        self.store.register()
+        for name, table in self.staged.items():
+            table.createOrReplaceTempView(name)
+        self.audit.runs().createOrReplaceTempView(PIPELINE_RUNS.name)
+        self.audit.logs().createOrReplaceTempView(DATA_QUALITY_LOGS.name)
+
     def extract(self) -> dict[str, DataFrame]:
         """Every source as it arrived, stored with its arrival order."""
         check_sources(self.config["sources"])
-        self.store.register()
+        self.register()
         landed = {}
         for source in self.config["sources"]:
             try:
@@ -143,6 +153,7 @@ class SalesJob:
                 F.col(c).cast(spec.schema[c].dataType).alias(c) for c in spec.load_columns
             ], SEQ)
             staged, rows = write_staging(batch, self.root, name)
+            self.staged[f"stg_{name}"] = staged
             if key:
                 changed = self.store.upsert(spec, staged, SEQ, now)
             else:
@@ -196,14 +207,14 @@ class SalesJob:
             if self.config["star_schema"]:
                 self.build_star(clock())
             self.store.publish(clock())
-            self.store.register()
             if self.config["gold"]:
                 for report, table in self.reports().items():
-                    self._land("gold", report, table)
+                    self._land("gold", report, table).createOrReplaceTempView(report)
         except Exception as failure:
             log.error("run %d failed: %s", run_id, failure)
             self.store.discard()
             self.audit.end(run_id, name, FAILED, 0, clock(), str(failure))
             return RunResult(run_id, FAILED, error=str(failure), quality=results)
         self.audit.end(run_id, name, COMPLETED, records, clock())
+        self.register()
         return RunResult(run_id, COMPLETED, records, quality=results)

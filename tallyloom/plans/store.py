@@ -13,12 +13,12 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tallyloom.functions.calendar import month_label
 from tallyloom.operators.integrity import constraint_violations, require
 from tallyloom.operators.merge import require_new_keys, survivors, untouched, with_defaults
 from tallyloom.schemas import TABLES, TableSpec
+from tallyloom.sources.parquet import create_if_missing
 
 WHOLE = "all"
 _SLICE = "_slice"
@@ -43,12 +43,8 @@ class TableStore:
 
     def _read_manifest(self) -> tuple[int, dict[str, dict[str, str]]]:
         """The latest folder of every slice: one short row per slice of a table."""
-        try:
-            entries = self.spark.read.schema(_MANIFEST).parquet(self._manifest_path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0, {}
+        create_if_missing(self.spark, self._manifest_path, _MANIFEST)
+        entries = self.spark.read.schema(_MANIFEST).parquet(self._manifest_path)
         latest = entries.groupBy("table_name", "slice").agg(
             F.max_by("path", "version").alias("path"), F.max("version").alias("version")
         )

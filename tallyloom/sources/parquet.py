@@ -22,3 +22,8 @@ def read_table(
     if spread_by and len(table.inputFiles()) < cores:
         return table.repartition(cores, *spread_by)
     return table
+
+
+def create_if_missing(spark: SparkSession, path: str, schema: StructType | str) -> None:
+    """An empty table at ``path`` unless one is there."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
