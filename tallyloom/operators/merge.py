@@ -3,15 +3,16 @@
 Rows replace one another in arrival order, on the primary key or on any unique column. The result
 of that sequence has a closed form: a staged row stays if it is the last one for its key and the
 last one for each of its unique values, and a stored row stays if no staged row shares its key or a
-unique value. ``max_by`` and ``max`` find the last ones with map-side aggregation, so a key or
-value that fills a third of the batch is no burden.
+unique value. Only the first row of each window is asked for, so Spark cuts every key to one row per
+task before the shuffle, and ``max`` combines likewise: a key or value that fills a third of the
+batch is no burden.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.integrity import ConstraintViolation
@@ -20,11 +21,8 @@ from tallyloom.schemas import TableSpec
 
 def survivors(staged: DataFrame, key: str, unique: tuple[str, ...], seq: str) -> DataFrame:
     """The staged rows still there after the whole batch; ``seq`` orders the arrivals, without ties."""
-    rest = [c for c in staged.columns if c not in (key, seq)]
-    last = staged.groupBy(key).agg(
-        F.max_by(F.struct(*rest), seq).alias("_row"), F.max(seq).alias(seq)
-    )
-    kept = last.select(key, "_row.*", seq)
+    latest = Window.partitionBy(key).orderBy(F.desc(seq))
+    kept = staged.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1").drop("_nth")
     for column in unique:
         # An arrival number is unique, so joining on it spreads evenly whatever the values are.
         owners = staged.filter(F.col(column).isNotNull()).groupBy(column).agg(F.max(seq).alias(seq))

@@ -163,21 +163,40 @@ class SalesJob:
             log.info("loaded %d rows to %s", rows, name)
         return total
 
-    def build_star(self, now: dt.datetime, holidays: DataFrame | None = None) -> None:
-        """Dimensions with versions, and the keyed fact, from the stored tables."""
-        sales, products, customers = (self.store.read(s) for s in (SALES, PRODUCTS, CUSTOMERS))
-        for spec, rows, key, tracked in (
-            (DIM_PRODUCT, products, "product_id", star.PRODUCT_TRACKED),
-            (DIM_CUSTOMER, customers, "customer_id", star.CUSTOMER_TRACKED),
+    def build_star(self, now: dt.datetime) -> None:
+        """Bring dimensions and fact up to date with the staged load.
+
+        Facts are rebuilt for the months of sales this load has changed, under new keys; the others
+        keep the versions they were loaded with.
+        """
+        for spec, table, key, tracked in (
+            (DIM_PRODUCT, PRODUCTS, "product_id", star.PRODUCT_TRACKED),
+            (DIM_CUSTOMER, CUSTOMERS, "customer_id", star.CUSTOMER_TRACKED),
         ):
             merged = star.scd2_merge(
-                self.store.read(spec), rows, spec.primary_key, key, tracked, now.date()
+                self.store.read(spec), self.store.read(table), spec.primary_key, key, tracked, now.date()
             )
             self.store.stage({spec.name: self.store.write_whole(spec, merged)})
-        dates = star.date_dimension(sales, holidays)
+        months = self.store.staged_months(SALES)
+        if not months:
+            return
+        sales = self.store.read(SALES, months)
+        known = self.store.read(DIM_DATE)
+        dates = star.date_dimension(sales, self._holidays())
+        dates = known.unionByName(dates.join(known.select("date_key"), "date_key", "left_anti"))
         self.store.stage({DIM_DATE.name: self.store.write_whole(DIM_DATE, dates)})
-        fact = star.keyed_fact(sales, self.store.read(DIM_PRODUCT), self.store.read(DIM_CUSTOMER), now)
-        self.store.stage({FACT_SALES.name: self.store.write_whole(FACT_SALES, fact)})
+        last_key = self.store.read(FACT_SALES).agg(F.max("sales_key")).first()[0] or 0
+        fact = star.keyed_fact(
+            sales, self.store.read(DIM_PRODUCT), self.store.read(DIM_CUSTOMER), now, after=last_key
+        )
+        self.store.stage({FACT_SALES.name: self.store.replace_months(FACT_SALES, fact, months)})
+
+    def _holidays(self) -> DataFrame | None:
+        """The configured list of ISO dates, a few per year."""
+        if self.config.get("holidays") is None:
+            return None
+        days = [(dt.date.fromisoformat(day),) for day in self.config["holidays"]]
+        return self.spark.createDataFrame(days, "full_date date")
 
     def reports(self) -> dict[str, DataFrame]:
         """Every report over the stored tables, whose keys the load has enforced."""

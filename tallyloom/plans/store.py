@@ -11,8 +11,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tallyloom.functions.calendar import month_label
 from tallyloom.operators.integrity import constraint_violations, require
@@ -77,8 +78,11 @@ class TableStore:
         rows.select(*spec.columns).write.parquet(path)
         return {**{s: None for s in self._slices.get(spec.name, {})}, WHOLE: path}
 
-    def _month(self, spec: TableSpec):
-        return F.coalesce(month_label(F.col(spec.slice_date)), F.lit(_NO_MONTH))
+    def _month(self, spec: TableSpec) -> Column:
+        date = F.col(spec.slice_date)
+        if isinstance(spec.schema[spec.slice_date].dataType, IntegerType):
+            date = F.to_date(date.cast("string"), "yyyyMMdd")
+        return F.coalesce(month_label(date), F.lit(_NO_MONTH))
 
     def _months(self, spec: TableSpec, rows: DataFrame) -> set[str]:
         return {r[0] for r in rows.select(self._month(spec)).distinct().collect()}
@@ -108,9 +112,16 @@ class TableStore:
             hit = target.join(staged.select(column).distinct(), column, "left_semi")
             months |= self._months(spec, hit)
         kept = untouched(self.read(spec, months), staged, spec.primary_key, spec.unique)
-        written = self._write_months(spec, kept.unionByName(arrived))
-        replaced = {s: None for s in self._slices.get(spec.name, {}) if _month_of(s) in months}
-        return {**replaced, **written}
+        return self.replace_months(spec, kept.unionByName(arrived), months)
+
+    def replace_months(self, spec: TableSpec, rows: DataFrame, months: set[str]) -> Slices:
+        """``rows`` become all that the table holds of ``months``; returns the entries to stage."""
+        gone = {s: None for s in self._slices.get(spec.name, {}) if _month_of(s) in months}
+        return {**gone, **self._write_months(spec, rows)}
+
+    def staged_months(self, spec: TableSpec) -> set[str]:
+        """The months whose content is staged but not yet published."""
+        return {_month_of(part) for part in self._pending.get(spec.name, {})}
 
     def append(self, spec: TableSpec, staged: DataFrame, now: dt.datetime) -> Slices:
         """Add a batch whose keys are all new; no stored row is rewritten."""

@@ -20,8 +20,8 @@ class Reference:
 class TableSpec:
     """One stored table.
 
-    ``slice_date`` names the date column whose month splits the stored files, so that an upsert
-    rewrites only the months it touches.
+    ``slice_date`` names the column, a date or a yyyymmdd key, whose month splits the stored files,
+    so that a load rewrites only the months it touches.
     """
 
     name: str
@@ -135,6 +135,7 @@ FACT_SALES = TableSpec(
         Reference("date_key", "dim_date", "date_key"),
     ),
     default_now=("created_at",),
+    slice_date="date_key",
 )
 
 PIPELINE_RUNS = TableSpec(

@@ -7,7 +7,7 @@ from conftest import NOW
 from tallyloom.operators.audit import AuditLog
 from tallyloom.plans.job import SalesJob
 from tallyloom.plans.store import TableStore
-from tallyloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, FACT_SALES, SALES
+from tallyloom.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, SALES
 from tallyloom.sources.delimited import SEQ, read_text_cells, typed, write_csv
 
 SALES_CSV = """sale_id,product_id,customer_id,quantity,sale_date,amount
@@ -48,18 +48,21 @@ def append_only(folder, **config):
 
 def test_whole_job_twice(spark, tmp_path):
     root = str(tmp_path / "lake")
-    job = SalesJob(spark, {"sources": write_sources(tmp_path)}, root)
+    feb = "9,101,201,1,2024-02-09,10\n"
+    job = SalesJob(spark, {"sources": write_sources(tmp_path, sales=SALES_CSV + feb), "holidays": ["2024-01-01"]}, root)
     result = job.run(NOW)
-    assert result and (result.run_id, result.status, result.records) == (1, "COMPLETED", 11)
+    assert result and (result.run_id, result.status, result.records) == (1, "COMPLETED", 12)
     store = TableStore(spark, root)
     rows = {r.sale_id: (r.quantity, float(r.amount), str(r.sale_date)) for r in store.read(SALES).collect()}
     assert rows == {1: (2, 100.0, "2024-01-01"), 2: (1, 50.0, "2024-01-02"), 3: (3, 150.0, "2024-01-03"),
-                    4: (0, 50.0, "2024-01-04"), 5: (2, 0.0, "2024-01-05")}
+                    4: (0, 50.0, "2024-01-04"), 5: (2, 0.0, "2024-01-05"), 9: (1, 10.0, "2024-02-09")}
     names = {r.product_name: r.category for r in spark.table("products").collect()}
     assert names == {"Widget, A": "ELECTRONICS", "Widget B": "HOME", "Widget C": "UNCATEGORIZED"}
     assert {(r.email, r.region) for r in spark.table("customers").collect()} == {
         ("john@gmail.com", "NORTH"), ("jane@company.com", "SOUTH"), (None, "UNKNOWN")}
-    assert store.read(FACT_SALES).count() == 5
+    facts = {(r.sales_key, r.product_key, r.date_key) for r in store.read(FACT_SALES).collect()}
+    assert facts == {(1, 1, 20240101), (2, 2, 20240102), (3, 3, 20240103), (4, 1, 20240104), (5, 2, 20240105), (6, 1, 20240209)}
+    assert [r.date_key for r in spark.table("dim_date").filter("is_holiday").collect()] == [20240101]
     assert not result.quality["sales"]["custom_checks"].passed  # sale 5: quantity without amount
     logs = AuditLog(spark, root).logs().collect()
     assert sorted(r.log_id for r in logs) == list(range(1, 19)) and {r.run_id for r in logs} == {1}
@@ -75,16 +78,20 @@ def test_whole_job_twice(spark, tmp_path):
     assert (result.run_id, result.records) == (2, 3)
     store = TableStore(spark, root)
     assert {(r.sale_id, float(r.amount), r.created_at) for r in store.read(SALES).collect() if r.sale_id > 3} == {
-        (4, 50.0, NOW), (5, 9.0, later)}
+        (4, 50.0, NOW), (5, 9.0, later), (9, 10.0, NOW)}
+    # January has changed: its facts have new keys and point at the new version of product 101
+    facts = {(r.sales_key, r.product_key, r.date_key) for r in store.read(FACT_SALES).collect()}
+    assert facts == {(7, 4, 20240101), (8, 2, 20240102), (9, 3, 20240103), (10, 4, 20240104), (11, 3, 20240105), (6, 1, 20240209)}
+    assert store.read(DIM_DATE).count() == 6
     versions = {(r.product_key, r.product_id, float(r.price), r.is_current) for r in store.read(DIM_PRODUCT).collect()}
     assert versions == {(1, 101, 50.0, False), (2, 102, 60.0, True), (3, 103, 700.5, True), (4, 101, 51.0, True)}
     assert store.read(DIM_CUSTOMER).filter("is_current").count() == 3
     runs = AuditLog(spark, root).runs().orderBy("run_id").collect()
     assert [(r.run_id, r.status, r.start_time, r.end_time, r.records_processed) for r in runs] == [
-        (1, "COMPLETED", NOW, NOW, 11), (2, "COMPLETED", later, later, 3)]
+        (1, "COMPLETED", NOW, NOW, 12), (2, "COMPLETED", later, later, 3)]
     gold = spark.read.parquet(f"{root}/gold/sales_summary")
-    assert gold.count() == 3 and "total_revenue" in gold.columns
-    assert spark.sql("SELECT sum(transactions) FROM monthly_category_top10").first()[0] == 5
+    assert gold.count() == 4 and "total_revenue" in gold.columns
+    assert spark.sql("SELECT sum(transactions) FROM monthly_category_top10").first()[0] == 6
     assert spark.sql("SELECT count(*) FROM pipeline_runs JOIN data_quality_logs USING (run_id)").first()[0] == 36
     assert spark.table("stg_sales").columns == ["sale_id", "product_id", "customer_id", "quantity", "amount", "sale_date", SEQ]
 

@@ -68,6 +68,12 @@ def test_a_hot_key_and_a_hot_email(spark):
     assert got == replay([], rows)
 
 
+def test_repeated_keys_are_cut_before_the_shuffle(spark, capsys):
+    survivors(customers_of(spark, [(1, "a", "e", "r")]), "customer_id", ("email",), "seq").explain()
+    plan = capsys.readouterr().out
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "partial_max(seq" in plan
+
+
 def test_missing_key_or_name_aborts(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     for row in ((None, "n", "e", "r"), (1, None, "e", "r")):
