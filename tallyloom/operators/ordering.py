@@ -42,13 +42,16 @@ def add_dense_key(df: DataFrame, key: str, order: list[str], start: int = 0) ->
     )
 
 
-def add_ranks(df: DataFrame, value: str, ranks: dict[str, str | None]) -> DataFrame:
+def add_ranks(
+    df: DataFrame, value: str, ranks: dict[str, str | None], rows: int | None = None
+) -> DataFrame:
     """Competition ranks (1, 2, 2, 4) by ``value`` descending, nulls last, ties share a rank.
 
     ``ranks`` maps each rank column to the group column it restarts in, or to None for one rank
-    over the whole table. ``df`` should be a stored table, as every rank reads it.
+    over the whole table. ``df`` should be a stored table, as every rank reads it; ``rows``, its
+    row count or a bound of it, saves counting.
     """
-    small = df.count() <= RANK_ROWS_PER_TASK
+    small = (df.count() if rows is None else rows) <= RANK_ROWS_PER_TASK
     ranked = df
     for rank, within in ranks.items():
         groups = [within] if within else []

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.numeric import no_nan
 
-# The rules of each table and the texts of the custom checks.
+# The rules of each table, the texts of the checks and of the report.
 RULES: dict[str, dict] = {
     "sales": {
         "required": ["sale_id", "product_id", "customer_id", "quantity", "amount", "sale_date"],
@@ -44,6 +44,10 @@ BAD_PRICE = "{} products have zero or negative prices"
 BAD_EMAIL = "{} customers have invalid email formats"
 NOT_A_DATE = "{} should be datetime type"
 NOT_A_NUMBER = "{} should be numeric type"
+REPORT_HEADLINE = "Quality Check Summary: {}/{} checks passed"
+REPORT_PASSED = "✓ {}: PASSED"
+REPORT_FAILED = "✗ {}: FAILED"
+REPORT_DETAILS = "  Details: {}"
 
 COUNTERS = "check_type string, column_name string, metric string, n bigint"
 
@@ -157,11 +161,11 @@ def log_rows(spark: SparkSession, table: str, results: dict[str, CheckResult]) -
 
 def report_text(results: dict[str, CheckResult]) -> str:
     """A headline and one line per check, with details where it failed."""
-    lines = [f"Quality Check Summary: {sum(r.passed for r in results.values())}/{len(results)} checks passed"]
+    lines = [REPORT_HEADLINE.format(sum(r.passed for r in results.values()), len(results))]
     for check, result in results.items():
-        lines.append(f"{'✓' if result.passed else '✗'} {check}: {'PASSED' if result.passed else 'FAILED'}")
+        lines.append((REPORT_PASSED if result.passed else REPORT_FAILED).format(check))
         if not result.passed:
-            lines.append(f"  Details: {result.details}")
+            lines.append(REPORT_DETAILS.format(result.details))
     return "\n".join(lines)
 
 

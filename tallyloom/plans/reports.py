@@ -18,7 +18,7 @@ from tallyloom.functions.numeric import percent_of
 from tallyloom.operators.lookup import attach
 from tallyloom.operators.measures import fold, mean_amount, money, sale_measures, transaction_count
 from tallyloom.operators.ordering import add_ranks
-from tallyloom.scratch import pin
+from tallyloom.scratch import pin_counted
 
 
 def _money(name: str) -> Column:
@@ -83,7 +83,7 @@ def product_performance(
         F.max("last_date").alias("last_sale_date"),
     )
     listed = products.select("product_id", "product_name", "category", "price")
-    per_product = pin(
+    per_product, rows = pin_counted(
         listed.filter(F.col("category").isNotNull())
         .join(sold, "product_id", "left")
         .fillna(0, ["total_sales", "unique_customers"]),
@@ -94,7 +94,7 @@ def product_performance(
     )
     revenue, mean = money("total_revenue"), F.try_divide(money("_total"), F.col("_sold"))
     ranked = add_ranks(
-        per_product, "total_revenue", {"category_rank": "category", "overall_rank": None}
+        per_product, "total_revenue", {"category_rank": "category", "overall_rank": None}, rows
     ).join(per_category, "category")
     return ranked.orderBy(F.desc_nulls_last("total_revenue"), "product_id").select(
         "product_id",
@@ -125,7 +125,7 @@ def sales_metrics(
     shrink = _shrink(sale_id_unique)
     facts = sale_measures(sales, "product_id", "customer_id", sale_id_unique=sale_id_unique)
     facts = attach(facts, products, "product_id", ["category"], shrink)
-    metrics = pin(
+    metrics, rows = pin_counted(
         facts.groupBy("category", "month").agg(
             transaction_count(sale_id_unique).alias("total_orders"),
             F.sum("units").alias("total_quantity"),
@@ -138,9 +138,8 @@ def sales_metrics(
     categories = metrics.filter(F.col("category").isNotNull()).groupBy("category").agg(
         F.sum("total_revenue").alias("_category_revenue")
     )
-    ranks = add_ranks(
-        pin(categories, "categories"), "_category_revenue", {"category_rank": None}
-    ).drop("_category_revenue")
+    ranks = add_ranks(categories, "_category_revenue", {"category_rank": None}, rows)
+    ranks = ranks.drop("_category_revenue")
     months = metrics.groupBy("month").agg(F.sum("total_revenue").alias("_month_revenue"))
     months = months.withColumnRenamed("month", "_month")
     joined = metrics.join(ranks, "category").join(

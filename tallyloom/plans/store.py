@@ -84,9 +84,6 @@ class TableStore:
             date = F.to_date(date.cast("string"), "yyyyMMdd")
         return F.coalesce(month_label(date), F.lit(_NO_MONTH))
 
-    def _months(self, spec: TableSpec, rows: DataFrame) -> set[str]:
-        return {r[0] for r in rows.select(self._month(spec)).distinct().collect()}
-
     def _write_months(self, spec: TableSpec, rows: DataFrame) -> dict[str, str]:
         """One folder per month. Rebalancing joins small pieces and splits a month that holds much."""
         path = self._new_folder(spec.name)
@@ -107,10 +104,11 @@ class TableStore:
         if spec.slice_date is None:
             kept = untouched(target, staged, spec.primary_key, spec.unique)
             return self.write_whole(spec, kept.unionByName(arrived))
-        months = self._months(spec, staged)
+        dates = staged.select(spec.slice_date)
         for column in (spec.primary_key, *spec.unique):
             hit = target.join(staged.select(column).distinct(), column, "left_semi")
-            months |= self._months(spec, hit)
+            dates = dates.union(hit.select(spec.slice_date))
+        months = {r[0] for r in dates.select(self._month(spec)).distinct().collect()}
         kept = untouched(self.read(spec, months), staged, spec.primary_key, spec.unique)
         return self.replace_months(spec, kept.unionByName(arrived), months)
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,7 +30,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
+    return pin_counted(df, label)[0]
+
+
+def pin_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``pin``, with the number of rows, which the write counts on its way."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, seen = scratch_path(spark, label), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
