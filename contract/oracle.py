@@ -37,7 +37,7 @@ GROUP BY ALL ORDER BY month_year DESC, total_revenue DESC
 
 PRODUCT_PERFORMANCE = f"""
 WITH {_TABLES},
-product_sales AS (
+per_product AS (
     SELECT p.product_id, p.product_name, p.category, p.price,
            count(DISTINCT sale_id) AS total_sales,
            CAST(sum(quantity) AS BIGINT) AS total_quantity,
@@ -50,7 +50,7 @@ product_sales AS (
 categories AS (
     SELECT category, CAST(sum(revenue) AS DOUBLE) AS total,
            CAST(sum(revenue) AS DOUBLE) / count(revenue) AS mean
-    FROM product_sales GROUP BY category)
+    FROM per_product GROUP BY category)
 SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, total_sales,
        total_quantity, CAST(revenue AS DOUBLE) AS total_revenue, avg_sale_amount, unique_customers,
        first_sale_date, last_sale_date,
@@ -60,7 +60,7 @@ SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, total
             ELSE 'Average' END AS performance_category,
        CAST(rank() OVER (PARTITION BY category ORDER BY revenue DESC NULLS LAST) AS INTEGER) AS category_rank,
        CAST(rank() OVER (ORDER BY revenue DESC NULLS LAST) AS INTEGER) AS overall_rank
-FROM product_sales JOIN categories USING (category)
+FROM per_product JOIN categories USING (category)
 ORDER BY total_revenue DESC NULLS LAST
 """
 

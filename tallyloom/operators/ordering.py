@@ -32,9 +32,14 @@ def _offsets(sized: DataFrame, size: Column) -> DataFrame:
 
 
 def add_dense_key(df: DataFrame, key: str, order: list[str], start: int = 0) -> DataFrame:
-    """Number the rows ``start + 1, start + 2, ...`` in the given order."""
+    """Number the rows ``start + 1, start + 2, ...`` in the given order.
+
+    Rows alike in ``order`` follow by the hash of the whole row, so that a key which many rows
+    share, or lack, is still spread over several partitions.
+    """
     row_id = F.monotonically_increasing_id()
-    ordered = pin(df.orderBy(*order).withColumn("_row", row_id), "ordered")
+    spread = df.orderBy(*order, F.xxhash64(*df.columns))
+    ordered = pin(spread.withColumn("_row", row_id), "ordered")
     placed = ordered.withColumn("_part", F.shiftright("_row", _PART_BITS))
     within = F.col("_row").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
     return placed.join(_offsets(placed, F.count("*")), "_part").select(

@@ -40,6 +40,7 @@ class TableStore:
         self.root = root
         self._manifest_path = f"{root}/manifest"
         self._pending: dict[str, Slices] = {}
+        self._listed: dict[tuple[str, ...], DataFrame] = {}
         self.version, self._slices = self._read_manifest()
 
     def _read_manifest(self) -> tuple[int, dict[str, dict[str, str]]]:
@@ -60,9 +61,14 @@ class TableStore:
         """The current table, or only some of its months; empty if nothing is stored."""
         current = self._slices.get(spec.name, {})
         paths = [p for s, p in sorted(current.items()) if months is None or _month_of(s) in months]
-        if not paths:
-            return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(*paths)
+        # Folders never change once written: one listing of them serves every reader.
+        known = (spec.name, *paths)
+        if known not in self._listed:
+            self._listed[known] = (
+                self.spark.read.schema(spec.schema).parquet(*paths) if paths
+                else self.spark.createDataFrame([], spec.schema)
+            )
+        return self._listed[known]
 
     def register(self) -> None:
         """Make every table readable by name from SQL."""

@@ -45,6 +45,16 @@ def test_dense_key(table):
     assert [(r.key, r.id) for r in keyed.orderBy("key").collect()] == [(i + 11, i) for i in range(3000)]
 
 
+def test_dense_key_spreads_a_hot_order_key(spark, table):
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # it would join these few rows again
+    keyed = add_dense_key(table.withColumn("hot", F.lit(1)), "key", ["hot"])
+    spark.conf.unset(coalesce)
+    parts = keyed.groupBy(F.input_file_name()).count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 2000
+    assert sorted(r.key for r in keyed.collect()) == list(range(1, 3001))
+
+
 def test_no_rows_are_gathered_in_one_partition(table, monkeypatch, capsys):
     monkeypatch.setattr(ordering, "RANK_ROWS_PER_TASK", 0)
     add_ranks(table, "value", {"in_group": "grp", "overall": None}).explain()
