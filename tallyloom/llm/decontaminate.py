@@ -60,18 +60,27 @@ def _patterns(benchmark: DataFrame, id_col: str, text_col: str, window: int) ->
     return found.groupBy("pattern", "n").agg(F.collect_set("item").alias("items"))
 
 
-def _spans(text: str, hit: np.ndarray) -> list[dict]:
+def _spans(text: bytes | None, ranges: list[int]) -> list[dict]:
     """Character ranges of runs of hit words in the original text."""
-    places = [m.span() for m in WORD.finditer(re.sub("[A-Z]", lambda m: m[0].lower(), text))]
-    step = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]])))
-    return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in zip(step[::2], step[1::2])]
+    if not ranges:
+        return []
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text.decode("utf-8", "replace"))
+    places = [m.span() for m in WORD.finditer(lower)]
+    return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in zip(ranges[::2], ranges[1::2])]
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
-def _scan(rows: DataFrame, patterns: list) -> DataFrame:
-    """Adds the block's hits to ``ranges`` (of words) and ``items``."""
+_BETWEEN = "doc_id bigint, text binary, n_words bigint, ranges array<bigint>, items array<string>, fp bigint"
+_RESULT = (
+    "doc_id bigint, fp bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string,"
+    " items array<string>, spans array<struct<start: bigint, end: bigint>>"
+)
+
+
+def _scan(rows: DataFrame, patterns: list, last: bool) -> DataFrame:
+    """Adds a block's hits to ``ranges`` (of words) and ``items``; the last block gives the result."""
     sent = rows.sparkSession.sparkContext.broadcast(patterns)
 
     def scan(batches):
@@ -80,59 +89,44 @@ def _scan(rows: DataFrame, patterns: list) -> DataFrame:
             automaton.add_word(f" {pattern} ", (n, k))
         automaton.make_automaton()
         found_any = len(automaton) > 0
-        for batch in batches:
-            counts, ranges, items = [], [], []
-            for text, before, had in zip(*(batch.column(i).to_pylist() for i in (1, 3, 4))):
-                words = words_of(text)
-                counts.append(len(words))
-                line = _joined(words)
-                found = list(automaton.iter(f" {line} ")) if words and found_any else []
-                if found:
-                    ends = np.cumsum([len(w) + 1 for w in line.split(" ")])
-                    last = np.searchsorted(ends, [end for end, _ in found])
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    for end, (_, (n, _)) in zip(last.tolist(), found):
-                        edge[end - n + 1] += 1
-                        edge[end + 1] -= 1
-                    for a, b in zip(before[::2], before[1::2]):
-                        edge[a] += 1
-                        edge[b] -= 1
-                    step = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]])))
-                    ranges.append(step.tolist())
-                    items.append(sorted({i for _, (_, k) in found for i in sent.value[k][2]} | set(had)))
-                else:
-                    ranges.append(before)
-                    items.append(had)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                pa.array(ranges, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())),
-                batch.column(5),
-            ], ["doc_id", "text", "n_words", "ranges", "items", "fp"])
-
-    return rows.mapInArrow(scan, rows.schema)
-
 
-def _told(rows: DataFrame) -> DataFrame:
-    def tell(batches):
-        for batch in batches:
-            hits, shas, spans = [], [], []
-            for text, n, ranges, items in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
-                hits.append(sum(ranges[1::2]) - sum(ranges[::2]))
-                shas.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-                hit = np.zeros(n, np.int8)
-                for a, b in zip(ranges[::2], ranges[1::2]):
-                    hit[a:b] = 1
-                spans.append(_spans(text.decode("utf-8", "replace"), hit) if ranges else [])
+        def hits(text, ranges, items):
+            """(words, ranges of hit words, items) of one text."""
+            words = words_of(text)
+            line = _joined(words)
+            found = list(automaton.iter(f" {line} ")) if words and found_any else []
+            if not found:
+                return len(words), ranges, items
+            ends = np.cumsum([len(w) + 1 for w in line.split(" ")])
+            edge = np.zeros(len(words) + 1, np.int64)
+            for end, (_, (n, _)) in zip(np.searchsorted(ends, [e for e, _ in found]).tolist(), found):
+                edge[end - n + 1] += 1
+                edge[end + 1] -= 1
+            np.add.at(edge, ranges[::2], 1)
+            np.add.at(edge, ranges[1::2], -1)
+            step = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]])))
+            return len(words), step.tolist(), sorted({i for _, (_, k) in found for i in sent.value[k][2]} | set(items))
+
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            texts = batch.column(1).to_pylist()
+            told = [hits(t, r, i) for t, r, i in zip(texts, *(batch.column(c).to_pylist() for c in (3, 4)))]
+            counts = pa.array([n for n, _, _ in told], pa.int64())
+            items = pa.array([i for _, _, i in told], pa.list_(pa.string()))
+            if not last:
+                ranges = pa.array([r for _, r, _ in told], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:2], counts, ranges, items, batch.column(5)], batch.schema.names
+                )
+                continue
+            shas = [hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for _, _, i in told]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(5), batch.column(2), pa.array(hits, pa.int64()),
-                pa.array([len(x) for x in batch.column(4).to_pylist()], pa.int64()),
-                pa.array(shas, pa.string()), batch.column(4), pa.array(spans, pa.list_(_SPAN)),
+                batch.column(0), batch.column(5), counts,
+                pa.array([sum(r[1::2]) - sum(r[::2]) for _, r, _ in told], pa.int64()),
+                pa.array([len(i) for _, _, i in told], pa.int64()), pa.array(shas, pa.string()), items,
+                pa.array([_spans(t, r) for t, (_, r, _) in zip(texts, told)], pa.list_(_SPAN)),
             ], ["doc_id", "fp", "n_words", "n_hit", "n_items", "items_sha256", "items", "spans"])
 
-    return rows.mapInArrow(
-        tell, "doc_id bigint, fp bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string,"
-        " items array<string>, spans array<struct<start: bigint, end: bigint>>",
-    )
+    return rows.mapInArrow(scan, _RESULT if last else _BETWEEN)
 
 
 def find_benchmark(
@@ -161,7 +155,7 @@ def find_benchmark(
     )
     for block in range(blocks):
         mine = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block)
-        rows = _scan(rows, [tuple(r) for r in mine.orderBy("pattern").collect()])
+        rows = _scan(rows, [tuple(r) for r in mine.orderBy("pattern").collect()], block == blocks - 1)
     patterns.unpersist()
     over = (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))
-    return _told(rows).withColumn("contaminated", over)
+    return rows.withColumn("contaminated", over)
