@@ -16,7 +16,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.workspace import WINDOW_ROWS, Workspace, running_total, slice_of
+from tallyloom.llm.workspace import Workspace, running_total, slice_of, slices_of
 
 BLOCK_WORDS = 4096
 # A mixture of more sources is refused; the driver sets the targets of all.
@@ -54,7 +54,7 @@ def _schedule(sources: DataFrame, blocks: list[int]) -> DataFrame:
     point = F.conv(F.reverse(bits), 2, 10).cast("double") / float(1 << _BITS)
     owner = F.size(F.filter(edges, lambda e: e <= F.col("point"))) if edges is not None else F.lit(0)
     slots = spark.range(total).select(F.col("id").alias("slot")).withColumn("point", point)
-    slots = slots.withColumn("source_no", owner).withColumn("part", F.expr(f"slot div {WINDOW_ROWS}"))
+    slots = slots.withColumn("source_no", owner).withColumn("part", F.expr(f"slot * {slices_of(total)} div {max(total, 1)}"))
     ranked = running_total(slots, ["source_no"], "part", [F.col("slot")], F.lit(1), "rank")
     ranked = ranked.select("source_no", "rank", "slot")
     had = ranked.groupBy("source_no").count().withColumnRenamed("source_no", "_no")

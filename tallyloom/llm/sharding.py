@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.workspace import WINDOW_ROWS, Workspace, running_total, slice_of
+from tallyloom.llm.workspace import Workspace, running_total, slice_of, slices_of
 
 
 def unit(hex_digest: Column) -> Column:
@@ -53,8 +53,7 @@ def interleave(
     placed = ranked.join(counts, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
         "place", (F.col("rank") + offset) / F.col("n")
     )
-    slices = max(1, -(-total // WINDOW_ROWS))
-    placed = placed.withColumn("part", F.floor(F.col("place") * slices)).drop("rank", "n", "_source")
+    placed = placed.withColumn("part", F.floor(F.col("place") * slices_of(total))).drop("rank", "n", "_source")
     placed = space.pin(placed, "placed")
     space.drop(rows)
     order = [F.col("place"), F.col("source").asc_nulls_last(), *tie]

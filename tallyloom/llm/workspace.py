@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,15 +36,15 @@ class Workspace:
             path.getFileSystem(conf).delete(path, True)
 
 
-# Rows that one window of ``place_in_order`` aims to hold.
-WINDOW_ROWS = 20_000
+def slices_of(rows: int) -> int:
+    """Slices to cut ``rows`` into, so that neither a slice nor the list of slices is long."""
+    return max(1, -(-rows // max(1000, isqrt(rows))))
 
 
 def slice_of(hex_digest: Column, rows: int) -> Column:
-    """Slice number of an evenly spread hex string, rising with it; about WINDOW_ROWS rows each."""
-    slices = max(1, -(-rows // WINDOW_ROWS))
+    """Slice number of an evenly spread hex string, rising with it."""
     top = F.conv(F.substring(hex_digest, 1, 7), 16, 10).cast("long")
-    return F.floor(top * slices / F.lit(1 << 28)).cast("long")
+    return F.floor(top * slices_of(rows) / F.lit(1 << 28)).cast("long")
 
 
 def running_total(
