@@ -3,14 +3,13 @@
 Vectors are normalised, so a cosine is a Euclidean distance: 0.93 is 0.374, unlike ones are about
 1.41 apart. A hash is a random projection, shifted and cut into steps of ``step``; ``hashes`` of them
 make the key of one of ``tables`` tables. With the defaults a pair at 0.93 shares the key of a table
-with a chance of 0.13 and of any table with more than 0.998, closer pairs with still more;
-two unlike vectors of 64 dimensions share one in a table with a chance of about 10^-5. For labels of
-more than some 10^6 vectors raise ``hashes`` by 2 and ``tables`` by a third for each factor of 5.
-
-Equal vectors of a label are one class. Pairs within a key are formed between classes only and
-checked in the first table that both share, so each is checked once. A key that more than
-``BLOCK_ROWS`` classes share is cut into blocks, and each pair of blocks is a task's work of its
-own: no pair is left out, no key is a single task, and only links leave the task.
+with a chance of 0.14 and of any table with 0.986, closer pairs with more; two unlike vectors of 64
+dimensions share one in a table with a chance of about 2 * 10^-4. For labels of more than some 10^5
+vectors raise ``hashes`` by 2 and ``tables`` by a third for each factor of 4.
+
+Equal vectors of a label are one class, and only classes meet: ids that share a key are joined, each
+pair of them is made distinct on the map side first, and the distinct pairs, almost all of which
+are links, are joined with the vectors once. No key has a cap.
 """
 
 from __future__ import annotations
@@ -23,8 +22,6 @@ from pyspark.sql import functions as F
 from tallyloom.llm.components import components
 from tallyloom.llm.workspace import Workspace
 
-BLOCK_ROWS = 256
-
 
 def _hashed(rows: DataFrame, hashes: int, tables: int, step: float, seed: int) -> DataFrame:
     """(row, vec_id, label, unit, digest, keys): normalised vectors and their keys.
@@ -69,46 +66,24 @@ def _hashed(rows: DataFrame, hashes: int, tables: int, step: float, seed: int) -
     )
 
 
-def _links(blocks: DataFrame, cosine: float) -> DataFrame:
-    """(a, b): linked classes of every pair of blocks."""
+def _checked(pairs: DataFrame, cosine: float) -> DataFrame:
+    """(a, b) of the rows (a, b, one, two) whose unit vectors have the cosine."""
 
-    def load(cell):
-        nodes = np.asarray([x["node"].as_py() for x in cell], np.int64)
-        units = [np.frombuffer(x["unit"].as_py()) for x in cell]
-        keys = np.asarray([x["keys"].as_py() for x in cell], np.int64)
-        return nodes, units, keys
-
-    def link(batches):
+    def check(batches):
         for batch in batches:
-            a, b = [], []
-            for table, one, two, same in zip(
-                batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()
-            ):
-                n1, u1, k1 = load(one)
-                n2, u2, k2 = (n1, u1, k1) if same else load(two)
-                for dim in {len(u) for u in u1}:
-                    i1 = [i for i, u in enumerate(u1) if len(u) == dim]
-                    i2 = [i for i, u in enumerate(u2) if len(u) == dim]
-                    if not i2:
-                        continue
-                    near = np.stack([u1[i] for i in i1]) @ np.stack([u2[i] for i in i2]).T
-                    x, y = np.nonzero(near >= cosine)
-                    x, y = np.asarray(i1)[x], np.asarray(i2)[y]
-                    if same:
-                        x, y = x[x < y], y[x < y]
-                    first = (k1[x] == k2[y]).argmax(axis=1) == table
-                    a.append(n1[x[first]])
-                    b.append(n2[y[first]])
-            a = np.concatenate(a) if a else np.zeros(0, np.int64)
-            b = np.concatenate(b) if b else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return blocks.mapInArrow(link, "a bigint, b bigint")
+            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            alike = [i for i, (x, y) in enumerate(zip(one, two)) if len(x) == len(y)]
+            near = [i for i in alike if np.frombuffer(one[i]) @ np.frombuffer(two[i]) >= cosine]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(near, pa.int64())) for c in (0, 1)], ["a", "b"]
+            )
+
+    return pairs.mapInArrow(check, "a bigint, b bigint")
 
 
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    cosine: float = 0.93, hashes: int = 14, tables: int = 56, step: float = 2.0, seed: int = 11,
+    cosine: float = 0.93, hashes: int = 12, tables: int = 28, step: float = 2.0, seed: int = 11,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``.
 
@@ -132,24 +107,20 @@ def near_vectors(
         F.min("row").alias("node"), F.min("vec_id").alias("class_id"), F.count("*").alias("rows")
     ), "classes")
     members = real.join(classes.select("node"), F.col("row") == F.col("node")).select("node", "label", "unit", "keys")
-    listed = members.select("node", "unit", "keys", "label", F.posexplode("keys").alias("table", "key"))
-    sized = listed.groupBy("label", "table", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    sized = sized.withColumnsRenamed({"label": "_label", "table": "_table", "key": "_key"})
-    same = (F.col("label") == F.col("_label")) & (F.col("table") == F.col("_table")) & (F.col("key") == F.col("_key"))
-    slot = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK_ROWS))
-    cells = listed.join(sized, same).withColumn("slot", slot)
-    blocks = space.pin(cells.groupBy("label", "table", "key", "slot").agg(
-        F.collect_list(F.struct("node", "unit", "keys")).alias("cell")
-    ), "blocks")
-    other = blocks.select(*[F.col(c).alias(f"_{c}") for c in ("label", "table", "key", "slot")], F.col("cell").alias("two"))
-    inner = blocks.filter(F.size("cell") > 1).select(
-        "table", F.col("cell").alias("one"), F.col("cell").alias("two"), F.lit(True).alias("same")
+    listed = space.pin(
+        members.select("node", "label", F.posexplode("keys").alias("table", "key")).select(
+            "node", F.xxhash64("label", "table", "key").alias("key")
+        ), "keys",
     )
-    outer = blocks.join(other, same & (F.col("slot") < F.col("_slot"))).select(
-        "table", F.col("cell").alias("one"), "two", F.lit(False).alias("same")
+    other = listed.select(F.col("node").alias("b"), F.col("key").alias("_key"))
+    met = listed.join(other, (F.col("key") == F.col("_key")) & (F.col("node") < F.col("b")))
+    pairs = met.select(F.col("node").alias("a"), "b").distinct()
+    units = members.select("node", "unit")
+    both = pairs.join(units.select(F.col("node").alias("a"), F.col("unit").alias("one")), "a").join(
+        units.select(F.col("node").alias("b"), F.col("unit").alias("two")), "b"
     )
-    links = space.pin(_links(inner, cosine).union(_links(outer, cosine)), "vector-links")
-    space.drop(blocks)
+    links = space.pin(_checked(both.select("a", "b", "one", "two"), cosine), "vector-links")
+    space.drop(listed)
 
     roots = space.pin(components(space, links), "roots")
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
