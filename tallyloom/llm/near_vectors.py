@@ -8,8 +8,8 @@ dimensions share one in a table with a chance of about 2 * 10^-4. For labels of
 vectors raise ``hashes`` by 2 and ``tables`` by a third for each factor of 4.
 
 Equal vectors of a label are one class, and only classes meet: ids that share a key are joined, each
-pair of them is made distinct on the map side first, and the distinct pairs, almost all of which
-are links, are joined with the vectors once. No key has a cap.
+pair of them is made distinct on the map side first, and the distinct pairs are joined with the
+vectors once. No key has a cap.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ Two texts link when their sets of word n-grams have a Jaccard similarity of at l
 per cent. The join is exact and never forms the pairs of a group of near copies:
 
 1. Equal sets become one class. Only classes are joined.
-2. Every class keeps ``2e + 1`` n-grams, the smallest by hash, where ``e`` is the most n-grams a
-   partner may lack; a partner has at least ``e + 1`` of them. It is listed under the ``e + 1``
+2. Every class keeps ``e + e/2 + 1`` n-grams, the smallest by hash, where ``e`` is the most n-grams
+   a partner may lack; a partner has at least ``e/2 + 1`` of them. It is listed under the ``e + 1``
    rarest of these, so a common passage is hardly ever a key, and two partners share a list.
 3. Lists are cut into blocks of one set size, sorted by position. Blocks whose sizes or positions
    rule out a link are skipped whole; of others the scan stops at the last position that may do.
@@ -64,13 +64,19 @@ def _lacks(n: Column | int, percent: int) -> Column | int:
     return F.floor(n * (100 - percent) / 100) if isinstance(n, Column) else n * (100 - percent) // 100
 
 
+def _kept(n: int, percent: int) -> int:
+    """How many of the smallest hashes of a set of n are kept."""
+    most = _lacks(n, percent)
+    return most + most // 2 + 1
+
+
 def _needs(n: Column, m: Column, percent: int) -> Column:
     """The fewest n-grams that sets of n and m have in common if they link."""
     return F.ceil((n + m) * percent / (100 + percent))
 
 
 def _summaries(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, rare): set size, digest, and the ``2e + 1`` smallest hashes."""
+    """(doc_id, n, digest, rare): set size, digest, and the smallest hashes."""
 
     def summarise(batches):
         for batch in batches:
@@ -79,7 +85,7 @@ def _summaries(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 batch.column(0),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                _lists([s[: 2 * _lacks(len(s), percent) + 1] for s in sets]),
+                _lists([s[: _kept(len(s), percent)] for s in sets]),
             ], ["doc_id", "n", "digest", "rare"])
 
     return docs.mapInArrow(summarise, "doc_id bigint, n bigint, digest binary, rare array<bigint>")
@@ -105,13 +111,15 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(build, "node bigint, n bigint, grams array<bigint>")
 
 
-def _index(classes: DataFrame, percent: int) -> DataFrame:
+def _index(space: Workspace, classes: DataFrame, percent: int) -> DataFrame:
     """(token, node, n, p, own, place): the lists of the ``e + 1`` rarest of the kept n-grams.
 
-    ``place`` counts the rarer ones of the same set, ``own`` those no other class keeps.
+    ``place`` counts the rarer ones of the same set, ``own`` those no other class keeps. The counts are
+    written first: the join can then split an n-gram that very many sets hold.
     """
     kept = classes.select("node", "n", F.size("rare").alias("p"), F.explode("rare").alias("token"))
-    shared = kept.groupBy("token").count().filter("count > 1").withColumnRenamed("token", "_token")
+    counts = kept.groupBy("token").count().filter("count > 1").withColumnRenamed("token", "_token")
+    shared = space.pin(counts, "shared")
     spread = kept.join(shared, F.col("token") == F.col("_token"))
     ordered = spread.groupBy("node", "n", "p").agg(
         F.sort_array(F.collect_list(F.struct("count", "token"))).alias("tokens")
@@ -230,7 +238,7 @@ def jaccard_groups(
     members = real.join(classes.select("node"), F.col("row") == F.col("node")).select(
         "node", "doc_id", "digest", "n", "rare"
     )
-    index = space.pin(_index(members, percent), "index")
+    index = space.pin(_index(space, members, percent), "index")
     lists = index.groupBy("token").agg(
         F.count("*").alias("rows"), F.min(F.struct("own", "node")).alias("leader")
     ).filter("rows > 1").select(F.col("token").alias("_token"), "rows", F.col("leader.node").alias("leader"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,10 +24,16 @@ class Workspace:
     def pin(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label)
         df.write.parquet(path)
+        self.release()
         table = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(table)] = path
         return table
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished writes, as it does when the driver collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete pinned tables that no result of the operator reads any more."""
         jvm = self.spark._jvm
