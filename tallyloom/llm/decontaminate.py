@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.workspace import small_batches
+
 # An automaton takes about a hundred bytes a character.
 BLOCK_CHARS = 4_000_000
 
@@ -107,7 +109,7 @@ def _scan(rows: DataFrame, patterns: list, last: bool) -> DataFrame:
             step = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(edge[:-1]) > 0, [0]])))
             return len(words), step.tolist(), sorted({i for _, (_, k) in found for i in sent.value[k][2]} | set(items))
 
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+        for batch in batches:
             texts = batch.column(1).to_pylist()
             told = [hits(t, r, i) for t, r, i in zip(texts, *(batch.column(c).to_pylist() for c in (3, 4)))]
             counts = pa.array([n for n, _, _ in told], pa.int64())
@@ -145,6 +147,7 @@ def find_benchmark(
     - Repeated rows are returned as often as they come; null ids stay null.
     - Empty tables: no rows without texts, no hits without items.
     """
+    small_batches(docs.sparkSession)
     patterns = _patterns(benchmark, item_col, item_text_col, window).cache()
     chars = patterns.agg(F.sum(F.length("pattern") + 2)).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.words import pieces
-from tallyloom.llm.workspace import Workspace
+from tallyloom.llm.workspace import small_batches
 
 DIM = 2048
 PER_LANGUAGE = 600
@@ -197,6 +197,7 @@ def identify(
     - A null id is held out of learning. Repeated rows are told alike, ties by the first centroid.
     - An empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     if held_out is None:
         held_out = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
     held = F.coalesce(held_out, F.lit(True))

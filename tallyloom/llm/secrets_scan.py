@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.workspace import small_batches
+
 # A compressed run that unfolds to more bytes is reported as oversize and not read.
 MAX_INFLATED = 16 << 20
 
@@ -223,6 +225,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_spans", "n_layers", "n_oversize"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
         find, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string,"

@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 from tallyloom.scratch import scratch_path
 
 
+# Rows of an Arrow batch. Texts may be long: Spark's default of 10,000 rows would bound no memory.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the rows of Arrow batches, unless the session has set a number of its own."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 class Workspace:
     """Writes intermediate tables to the shared folder and removes those no longer needed.
 
@@ -19,6 +30,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        small_batches(spark)
         self._paths: dict[int, str] = {}
 
     def pin(self, df: DataFrame, label: str) -> DataFrame:
