@@ -9,8 +9,8 @@ per cent. The join is exact and never forms the pairs of a group of near copies:
    rarest of these, so a common passage is hardly ever a key, and two partners share a list.
 3. Lists are cut into blocks of one set size, sorted by position. Blocks whose sizes or positions
    rule out a link are skipped whole; of others the scan stops at the last position that may do.
-4. In a list of more than ``LIST_ROWS`` sets, every set is compared with the list's leader only,
-   the set with the fewest n-grams of its own. The answers of a set follow from those of the
+4. In a list of more than ``LIST_ROWS`` sets, every set is compared with one leader only, the set
+   with the fewest n-grams of its own in the list or, to have few leaders, in the lists of that set. The answers of a set follow from those of the
    leader: the difference of two sets is told by their differences from the leader. Sets linked
    to the leader are connected already. Any other set can only link to a set with which it shares
    a difference, so these, which are few and mostly of one set alone, are joined in place of the
@@ -131,6 +131,21 @@ def _index(space: Workspace, classes: DataFrame, percent: int) -> DataFrame:
     ).filter(F.col("place") <= _lacks(F.col("n"), percent))
 
 
+def _led(listed: DataFrame) -> DataFrame:
+    """(a, b): every set of the long lists with its leaders.
+
+    Any set will do as the leader of a list. Following a list's leader to the leaders of the lists that
+    it is in itself, twice, leaves a family of near copies with few.
+    """
+    best = listed.groupBy("node").agg(F.min("leader").alias("best")).select(F.col("node").alias("_node"), "best")
+    heads = listed.select("leader").distinct().withColumn("head", F.col("leader.node"))
+    for _ in range(2):
+        heads = heads.join(best, F.col("leader.node") == F.col("_node")).select("head", F.col("best").alias("leader"))
+    heads = heads.select("head", F.col("leader.node").alias("a"))
+    led = listed.select(F.col("leader.node").alias("head"), F.col("node").alias("b")).distinct().join(heads, "head")
+    return led.filter("a <> b").select("a", "b")
+
+
 def _short_list_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of the lists, by blocks of one size sorted by place."""
     block = rows.groupBy("token", "n", "p").agg(
@@ -227,7 +242,9 @@ def jaccard_groups(
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
     )
-    rows = space.pin(_summaries(texts, words, percent).withColumn("row", F.monotonically_increasing_id()), "sets")
+    summaries = _summaries(texts, words, percent).withColumn("row", F.monotonically_increasing_id())
+    heavy = space.pin(summaries, "sets")
+    rows = space.pin(heavy.drop("rare"), "rows")
     real = rows.filter("n > 0 AND doc_id IS NOT NULL")
     texts = texts.filter("doc_id IS NOT NULL")
     # min_by would keep long arrays in the aggregate; ids alone are joined back.
@@ -235,21 +252,16 @@ def jaccard_groups(
         "digest", F.col("least.doc_id").alias("class_id"), F.col("least.row").alias("node")
     )
     classes = space.pin(classes, "classes")
-    members = real.join(classes.select("node"), F.col("row") == F.col("node")).select(
-        "node", "doc_id", "digest", "n", "rare"
-    )
+    members = heavy.join(classes.select("node"), F.col("row") == F.col("node")).select("node", "n", "rare")
     index = space.pin(_index(space, members, percent), "index")
     lists = index.groupBy("token").agg(
         F.count("*").alias("rows"), F.min(F.struct("own", "node")).alias("leader")
-    ).filter("rows > 1").select(F.col("token").alias("_token"), "rows", F.col("leader.node").alias("leader"))
+    ).filter("rows > 1").withColumnRenamed("token", "_token")
     listed = space.pin(index.join(lists, F.col("token") == F.col("_token")).drop("_token"), "lists")
-    space.drop(index)
+    space.drop(index, heavy)
     wanted = classes.select("node", F.col("class_id").alias("doc_id"), "digest")
 
-    led = listed.filter((F.col("rows") > LIST_ROWS) & (F.col("node") != F.col("leader")))
-    compared, held = _compare(
-        space, texts, wanted, led.select(F.col("leader").alias("a"), F.col("node").alias("b")), words, percent
-    )
+    compared, held = _compare(space, texts, wanted, _led(listed.filter(F.col("rows") > LIST_ROWS)), words, percent)
     compared = space.pin(compared, "led")
     space.drop(*held)
     led_pairs = _led_pairs(space, compared, percent)
