@@ -4,8 +4,8 @@ Two texts link when their sets of word n-grams have a Jaccard similarity of at l
 per cent. The join is exact and never forms the pairs of a group of near copies:
 
 1. Equal sets become one class. Only classes are joined.
-2. Every class keeps ``e + e/2 + 1`` n-grams, the smallest by hash, where ``e`` is the most n-grams
-   a partner may lack; a partner has at least ``e/2 + 1`` of them. It is listed under the ``e + 1``
+2. Every class keeps ``e + e/3 + 1`` n-grams, the smallest by hash, where ``e`` is the most n-grams
+   a partner may lack; a partner has at least ``e/3 + 1`` of them. It is listed under the ``e + 1``
    rarest of these, so a common passage is hardly ever a key, and two partners share a list.
 3. Lists are cut into blocks of one set size, sorted by position. Blocks whose sizes or positions
    rule out a link are skipped whole; of others the scan stops at the last position that may do.
@@ -64,10 +64,10 @@ def _lacks(n: Column | int, percent: int) -> Column | int:
     return F.floor(n * (100 - percent) / 100) if isinstance(n, Column) else n * (100 - percent) // 100
 
 
-def _kept(n: int, percent: int) -> int:
+def _kept(n: Column | int, percent: int) -> Column | int:
     """How many of the smallest hashes of a set of n are kept."""
     most = _lacks(n, percent)
-    return most + most // 2 + 1
+    return most + (F.floor(most / 3) if isinstance(n, Column) else most // 3) + 1
 
 
 def _needs(n: Column, m: Column, percent: int) -> Column:
@@ -117,13 +117,13 @@ def _index(space: Workspace, classes: DataFrame, percent: int) -> DataFrame:
     ``place`` counts the rarer ones of the same set, ``own`` those no other class keeps. The counts are
     written first: the join can then split an n-gram that very many sets hold.
     """
-    kept = classes.select("node", "n", F.size("rare").alias("p"), F.explode("rare").alias("token"))
+    kept = classes.select("node", "n", F.explode("rare").alias("token"))
     counts = kept.groupBy("token").count().filter("count > 1").withColumnRenamed("token", "_token")
     shared = space.pin(counts, "shared")
     spread = kept.join(shared, F.col("token") == F.col("_token"))
-    ordered = spread.groupBy("node", "n", "p").agg(
+    ordered = spread.groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("count", "token"))).alias("tokens")
-    ).withColumn("own", F.col("p") - F.size("tokens"))
+    ).withColumn("p", _kept(F.col("n"), percent)).withColumn("own", F.col("p") - F.size("tokens"))
     listed = ordered.select("node", "n", "p", "own", F.posexplode("tokens").alias("i", "t"))
     return listed.select(
         F.col("t.token").alias("token"), "node", "n", "p", "own",
