@@ -165,6 +165,11 @@ def _over_loaded(report: str) -> str:
     return report.replace(views.SALES_SQL, views.LOADED_SALES_SQL)
 
 
+def _some_uncategorised(report: str) -> str:
+    lacking = "SELECT * REPLACE (CASE WHEN product_id % 7 <> 0 THEN category END AS category)"
+    return report.replace(views.PRODUCTS_SQL, f"{lacking} FROM ({views.PRODUCTS_SQL})")
+
+
 # Cleaning
 
 _STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
@@ -449,7 +454,7 @@ staged AS (
            CASE WHEN month(o_orderdate) <> 12
                 THEN concat('u', o_custkey + month(o_orderdate) % 3, '@example.org') END AS email,
            o_orderstatus AS region, o_orderkey AS seq
-    FROM orders WHERE o_orderpriority = '1-URGENT'),
+    FROM orders),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY seq DESC) AS by_id,
            row_number() OVER (PARTITION BY email ORDER BY seq DESC) AS by_email
@@ -502,6 +507,8 @@ ORACLE = {
     "preview_products": PREVIEW_PRODUCTS,
     "preview_customers": PREVIEW_CUSTOMERS,
     "preview_sales": PREVIEW_SALES,
+    "sales_metrics_uncategorised": _some_uncategorised(SALES_METRICS),
+    "product_performance_uncategorised": _some_uncategorised(PRODUCT_PERFORMANCE),
     "loaded_sales_summary": _over_loaded(SALES_SUMMARY),
     "loaded_product_performance": _over_loaded(PRODUCT_PERFORMANCE),
     "loaded_sales_metrics": _over_loaded(SALES_METRICS),

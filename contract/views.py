@@ -26,11 +26,10 @@ _SCHEMAS = {
     "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
     "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
 }
-_SPREAD = {"lineitem": ("l_orderkey", "l_linenumber", "l_partkey")}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", _SCHEMAS[name], _SPREAD.get(name, ()))
+    return read_table(spark, f"{sf_dir}/{name}.parquet", _SCHEMAS[name])
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,3 +41,10 @@ def customer_segment(domain: Column) -> Column:
         .when(domain.isin(*PERSONAL_DOMAINS), "Personal")
         .otherwise("Other")
     )
+
+
+def or_raise(value: Column, given: Column, complaint: str) -> Column:
+    """``value``, or an error that names ``given`` if that is there and ``value`` is not."""
+    wrong = given.isNotNull() & value.isNull()
+    message = F.concat(F.lit(f"{complaint}: "), given.cast("string"))
+    return F.when(wrong, F.raise_error(message)).otherwise(value)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.calendar import date_key, is_weekend
 from tallyloom.functions.labels import REVENUE_CATEGORIES, REVENUE_EDGES
 from tallyloom.functions.numeric import band
+from tallyloom.operators.lookup import fits_broadcast
 from tallyloom.operators.ordering import add_dense_key
 
 PRODUCT_TRACKED = ("product_name", "category", "price")
@@ -25,14 +26,16 @@ def required_date_key(date: Column) -> Column:
 def _left_null_safe(facts: DataFrame, dimension: DataFrame, key: str, labels: list[str]) -> DataFrame:
     """Left join in which a null key finds a null key; a repeated key repeats the fact."""
     side = dimension.select(F.col(key).alias("_key"), *labels)
+    if fits_broadcast(side):
+        side = F.broadcast(side)
     return facts.join(side, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def denormalized_fact(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales with the labels of their product and customer, revenue category and date key.
 
-    The optimizer broadcasts a dimension it finds small and else shuffles both sides; rows of a
-    hot product or customer, or with no key at all, are split by AQE.
+    Each dimension is measured. One within the bound is broadcast, so the sales are not shuffled;
+    else both sides are shuffled, and AQE splits the rows of a hot key, or with no key at all.
     """
     fact = _left_null_safe(sales, products, "product_id", ["category", "price_tier"])
     fact = _left_null_safe(fact, customers, "customer_id", ["region", "customer_segment"])

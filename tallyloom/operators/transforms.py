@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.calendar import is_weekend
 from tallyloom.functions.labels import NO_CATEGORY, NO_REGION, PRICE_TIER_EDGES, PRICE_TIERS
 from tallyloom.functions.numeric import band, no_nan, round_cents
-from tallyloom.functions.text import customer_segment, email_domain, strip, title
+from tallyloom.functions.text import customer_segment, email_domain, or_raise, strip, title
 
 
 def transform_sales(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -23,7 +23,8 @@ def transform_sales(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
     amount = no_nan(F.col("amount").cast("double"))
     unit_price = F.try_divide(amount, F.col("quantity").cast("double"))
     date = F.col("sale_date")
-    return sales.withColumn("sale_date", F.to_date("sale_date")).withColumns({
+    parsed = or_raise(date.try_cast("date"), date, "sale_date is not a date")
+    return sales.withColumn("sale_date", parsed).withColumns({
         "year": F.year(date),
         "month": F.month(date),
         "quarter": F.quarter(date),

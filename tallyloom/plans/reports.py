@@ -18,7 +18,7 @@ from tallyloom.functions.numeric import percent_of
 from tallyloom.operators.lookup import attach
 from tallyloom.operators.measures import fold, mean_amount, money, sale_measures, transaction_count
 from tallyloom.operators.ordering import add_ranks
-from tallyloom.scratch import pin_counted
+from tallyloom.scratch import pin
 
 
 def _money(name: str) -> Column:
@@ -83,7 +83,7 @@ def product_performance(
         F.max("last_date").alias("last_sale_date"),
     )
     listed = products.select("product_id", "product_name", "category", "price")
-    per_product, rows = pin_counted(
+    per_product = pin(
         listed.filter(F.col("category").isNotNull())
         .join(sold, "product_id", "left")
         .fillna(0, ["total_sales", "unique_customers"]),
@@ -94,7 +94,7 @@ def product_performance(
     )
     revenue, mean = money("total_revenue"), F.try_divide(money("_total"), F.col("_sold"))
     ranked = add_ranks(
-        per_product, "total_revenue", {"category_rank": "category", "overall_rank": None}, rows
+        per_product, "total_revenue", {"category_rank": "category", "overall_rank": None}
     ).join(per_category, "category")
     return ranked.orderBy(F.desc_nulls_last("total_revenue"), "product_id").select(
         "product_id",
@@ -121,11 +121,15 @@ def product_performance(
 def sales_metrics(
     sales: DataFrame, products: DataFrame, *, sale_id_unique: bool = False
 ) -> DataFrame:
-    """Monthly orders and revenue per category, with the category's overall rank."""
+    """Monthly orders and revenue per category, with the category's overall rank.
+
+    Products without a category take part in the rank as one category, but are not reported, and a
+    month's shares are of what is reported.
+    """
     shrink = _shrink(sale_id_unique)
     facts = sale_measures(sales, "product_id", "customer_id", sale_id_unique=sale_id_unique)
     facts = attach(facts, products, "product_id", ["category"], shrink)
-    metrics, rows = pin_counted(
+    metrics = pin(
         facts.groupBy("category", "month").agg(
             transaction_count(sale_id_unique).alias("total_orders"),
             F.sum("units").alias("total_quantity"),
@@ -135,12 +139,12 @@ def sales_metrics(
         ),
         "category-months",
     )
-    categories = metrics.filter(F.col("category").isNotNull()).groupBy("category").agg(
+    categories = metrics.groupBy("category").agg(
         F.sum("total_revenue").alias("_category_revenue")
     )
-    ranks = add_ranks(categories, "_category_revenue", {"category_rank": None}, rows)
+    ranks = add_ranks(categories, "_category_revenue", {"category_rank": None})
     ranks = ranks.drop("_category_revenue")
-    months = metrics.groupBy("month").agg(F.sum("total_revenue").alias("_month_revenue"))
+    months = metrics.filter(F.col("category").isNotNull()).groupBy("month").agg(F.sum("total_revenue").alias("_month_revenue"))
     months = months.withColumnRenamed("month", "_month")
     joined = metrics.join(ranks, "category").join(
         months, F.col("month").eqNullSafe(F.col("_month"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import NULL_TOKENS
+from tallyloom.functions.text import or_raise
 
 # Where a row stood in the source: file, block of the file, row of the block's task. Compared as a
 # struct this is the arrival order, also when many tasks read many files.
@@ -37,12 +38,15 @@ def read_text_cells(
 
 
 def _typed(name: str, kind: str) -> Column:
-    """A cell as its type. Whole numbers may be written with decimals, as in ``2.0``."""
+    """A cell as its type. Whole numbers may be written with decimals, as in ``2.0``.
+
+    A cell that is not of the type raises, whether or not the session is an ANSI one.
+    """
     text = F.trim(F.col(name))
     if kind != "bigint":
-        return text.cast(kind)
-    number = text.cast("decimal(38,9)")
-    return F.when(number == F.floor(number), number.cast("bigint")).when(
+        return or_raise(text.try_cast(kind), text, f"{name} is not {kind}")
+    number = or_raise(text.try_cast("decimal(38,9)"), text, f"{name} is not a number")
+    return F.when(number == F.floor(number), number.try_cast("bigint")).when(
         number.isNotNull(), F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), text)).cast("bigint")
     )
 

@@ -8,20 +8,10 @@ from pyspark.sql.types import StructType
 
 def read_table(
     spark: SparkSession, path: str, schema: StructType | str | None = None,
-    spread_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Scan a Parquet table; ``spread_by`` names columns that together tell its rows apart.
-
-    A table in fewer files than there are cores would keep most of them idle through every step
-    up to the first shuffle. Such a table, small by that very measure, is spread over all cores
-    right after the scan. A table in many files is read in place.
-    """
+    """Scan a Parquet table in place; its row groups decide the number of tasks."""
     reader = spark.read.schema(schema) if schema else spark.read
-    table = reader.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(table.inputFiles()) < cores:
-        return table.repartition(cores, *spread_by)
-    return table
+    return reader.parquet(path)
 
 
 def create_if_missing(spark: SparkSession, path: str, schema: StructType | str) -> None:

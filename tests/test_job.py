@@ -131,11 +131,16 @@ def test_failures_are_recorded(spark, tmp_path, change, message):
 
 
 @pytest.mark.parametrize("row", ["1,101,201,2,2024-13-01,1.0", "1,101,201,2.5,2024-01-01,1.0", "1,101,201,2,2024-01-01,abc"])
-def test_malformed_cells_fail_the_run(spark, tmp_path, row):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_cells_fail_the_run(spark, tmp_path, row, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     config = append_only(tmp_path)
     (tmp_path / "sales.csv").write_text("sale_id,product_id,customer_id,quantity,sale_date,amount\n" + row + "\n")
     root = str(tmp_path / "lake")
-    assert not SalesJob(spark, config, root).run(NOW)
+    try:
+        assert not SalesJob(spark, config, root).run(NOW)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
     assert AuditLog(spark, root).runs().first().status == "FAILED"
 
 

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators import ordering
 from tallyloom.operators.ordering import add_dense_key, add_ranks
 
 
@@ -25,19 +24,15 @@ def plain_ranks(df):
         "overall", F.rank().over(Window.orderBy(order)))
 
 
-@pytest.mark.parametrize("bound", [0, 200_000])
-def test_ranks_agree_with_the_plain_window(table, monkeypatch, bound):
-    monkeypatch.setattr(ordering, "RANK_ROWS_PER_TASK", bound)
+def test_ranks_agree_with_the_plain_window(table):
     got = add_ranks(table, "value", {"in_group": "grp", "overall": None})
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(plain_ranks(table).collect(), key=lambda r: r.id)
 
 
-def test_ranks_of_ties_and_nulls(spark, monkeypatch):
+def test_ranks_of_ties_and_nulls(spark):
     df = spark.createDataFrame([(3,), (1,), (None,), (3,)], "value int")
-    for bound in (0, 10):
-        monkeypatch.setattr(ordering, "RANK_ROWS_PER_TASK", bound)
-        got = sorted((r.value or 0, r.rank) for r in add_ranks(df, "value", {"rank": None}).collect())
-        assert got == [(0, 4), (1, 3), (3, 1), (3, 1)]
+    got = sorted((r.value or 0, r.rank) for r in add_ranks(df, "value", {"rank": None}).collect())
+    assert got == [(0, 4), (1, 3), (3, 1), (3, 1)]
 
 
 def test_dense_key(table):
@@ -55,15 +50,13 @@ def test_dense_key_spreads_a_hot_order_key(spark, table):
     assert sorted(r.key for r in keyed.collect()) == list(range(1, 3001))
 
 
-def test_no_rows_are_gathered_in_one_partition(table, monkeypatch, capsys):
-    monkeypatch.setattr(ordering, "RANK_ROWS_PER_TASK", 0)
+def test_no_rows_are_gathered_in_one_partition(table, capsys):
     add_ranks(table, "value", {"in_group": "grp", "overall": None}).explain()
     add_dense_key(table, "key", ["id"]).explain()
     assert "SinglePartition" not in capsys.readouterr().out
 
 
-def test_empty_table(spark, monkeypatch):
+def test_empty_table(spark):
     empty = spark.createDataFrame([], "value int")
-    monkeypatch.setattr(ordering, "RANK_ROWS_PER_TASK", -1)
     assert add_ranks(empty, "value", {"rank": None}).collect() == []
     assert add_dense_key(empty, "key", ["value"]).collect() == []
