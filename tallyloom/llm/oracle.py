@@ -1,3 +1,93 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express on whole tables, by plain joins of all pairs."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(pattern: str, lower: bool) -> str:
+    text = "coalesce(text, '')"
+    if lower:
+        text = f"translate({text}, '{_UPPER}', '{_LOWER}')"
+    return f"regexp_extract_all({text}, '{pattern}')"
+
+
+ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard_join": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_words(_SPACED, True)} AS w FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+    FROM docs
+),
+sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS digest FROM grams GROUP BY doc_id),
+classes AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest) AS class_id FROM sets),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sets s ON s.doc_id = a JOIN sets t ON t.doc_id = b
+    WHERE 100 * c >= 90 * (s.n + t.n - c)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, l.component_id, coalesce(c.class_id, d.doc_id) AS class_id
+FROM docs d JOIN least l ON l.a = d.doc_id LEFT JOIN classes c ON c.doc_id = d.doc_id
+""",
+    "op2_substring_dedup": f"""
+WITH docs AS (SELECT doc_id, {_words(_SPACED, False)} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs),
+windows AS (
+    SELECT doc_id, pos, md5(string_agg(word, ' ') OVER ahead) AS h, count(*) OVER ahead AS n FROM words
+    WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+),
+full_windows AS (SELECT doc_id, pos, h FROM windows WHERE n = 50),
+firsts AS (SELECT h, min(doc_id) AS first, max(doc_id) AS last FROM full_windows GROUP BY h),
+repeated AS (SELECT doc_id, pos, first FROM full_windows JOIN firsts USING (h) WHERE first < last),
+gone AS (SELECT DISTINCT doc_id, pos + unnest(range(50)) AS pos FROM repeated WHERE first < doc_id),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS rest
+    FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(k.rest, '')) AS kept_sha256,
+    CASE WHEN d.doc_id IN (SELECT doc_id FROM repeated) THEN 50 ELSE 0 END AS longest_repeat
+FROM docs d LEFT JOIN kept k USING (doc_id)
+""",
+    "op7_benchmark_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_words(_LETTERS, True)} AS w FROM documents),
+items AS (
+    SELECT item_id::VARCHAR AS item, {_words(_LETTERS, True)} AS w FROM benchmark WHERE item_id IS NOT NULL
+),
+patterns AS (
+    SELECT DISTINCT item, least(13, len(w)) AS n, unnest(list_transform(
+        range(1, len(w) - least(13, len(w)) + 2),
+        lambda i: array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' '))) AS g
+    FROM items WHERE len(w) > 0
+),
+lengths AS (SELECT DISTINCT n FROM patterns),
+spread AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, unnest(list_transform(
+        range(1, len(w) - n + 2), lambda i: array_to_string(list_slice(w, i, i + n - 1), ' '))) AS g
+    FROM docs JOIN lengths ON len(w) >= n
+),
+found AS (SELECT doc_id, pos, spread.n, item FROM spread JOIN patterns ON spread.n = patterns.n AND spread.g = patterns.g),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, pos + unnest(range(n)) AS pos FROM found) GROUP BY doc_id),
+told AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN told USING (doc_id)
+""",
+}

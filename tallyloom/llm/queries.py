@@ -25,7 +25,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_table(spark, sf_dir, "documents"), window=50, longest=50)
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=50, longest=50).drop("removed")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, percent=5
-    ).drop("fp")
+    ).drop("fp", "items", "spans")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
