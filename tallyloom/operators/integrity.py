@@ -33,7 +33,11 @@ def constraint_violations(
             F.lit(column).alias("column_name"), F.col("violations"),
         )
 
-    required = [spec.primary_key, *spec.not_null]
+    required = [c for c in (spec.primary_key, *spec.not_null) if c is not None]
+    if not required:
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, rule string, column_name string, violations bigint"
+        )
     nulls = df.agg(F.array(*[
         F.struct(F.lit(spec.name).alias("table_name"), F.lit("not_null").alias("rule"),
                  F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("violations"))
@@ -41,7 +45,7 @@ def constraint_violations(
     ]).alias("cells")).select(F.inline("cells"))
     parts = [nulls]
     if with_keys:
-        parts += [labelled(_repeated(df, c), "unique", c) for c in (spec.primary_key, *spec.unique)]
+        parts += [labelled(_repeated(df, c), "unique", c) for c in spec.keys]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -21,7 +21,7 @@ from tallyloom.schemas import (
     CUSTOMERS, DATA_QUALITY_LOGS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PIPELINE_RUNS,
     PRODUCTS, SALES, SOURCE_TYPES, TABLES,
 )
-from tallyloom.sources.delimited import SEQ, typed
+from tallyloom.sources.delimited import SEQ, inferred_types, typed
 from tallyloom.sources.extract import check_sources, read_source
 
 log = logging.getLogger("tallyloom")
@@ -50,6 +50,8 @@ class RunResult:
     status: str
     records: int = 0
     error: str | None = None
+    undated_sales: int = 0
+    gold_error: str | None = None
     quality: dict[str, dict[str, CheckResult]] = field(default_factory=dict)
 
     def __bool__(self) -> bool:
@@ -60,7 +62,8 @@ class SalesJob:
     """One configured job writing under ``root``, a folder all executors share.
 
     Loaded tables and star schema are published together: a failure before that leaves every
-    stored table as it was.
+    stored table as it was. Gold is written from the published tables; if that fails the load stands,
+    and the result names the failure in ``gold_error``.
 
     Layers: ``bronze`` holds the sources as text with their arrival order, ``silver`` the cleaned
     tables, ``tables`` the merged ones, ``gold`` the reports.
@@ -73,6 +76,7 @@ class SalesJob:
         self.audit = AuditLog(spark, root)
         self.store = TableStore(spark, root)
         self.staged: dict[str, DataFrame] = {}
+        self.undated_sales = 0
 
     def _land(self, layer: str, name: str, table: DataFrame) -> DataFrame:
         """Write one table of a layer, logging its row count from the same pass."""
@@ -107,10 +111,14 @@ class SalesJob:
     def transform(
         self, extracted: dict[str, DataFrame], now: dt.datetime
     ) -> dict[str, DataFrame]:
-        """Every source typed, cleaned and stored."""
+        """Every source typed, cleaned and stored. Files of no known source get the types their cells have."""
         cleaned = {}
+        files = {s["name"] for s in self.config["sources"] if s["type"] == "csv"}
         for name, cells in extracted.items():
-            table = transform(name, typed(cells, SOURCE_TYPES.get(name, {})), now)
+            types = SOURCE_TYPES.get(name)
+            if types is None:
+                types = inferred_types(cells) if name in files else {}
+            table = transform(name, typed(cells, types), now)
             cleaned[name] = self._land("silver", name, table)
         return cleaned
 
@@ -145,8 +153,8 @@ class SalesJob:
             source, name = destination["source"], destination["table"]
             if source not in cleaned:
                 continue
-            spec = TABLES[name]
             key = destination.get("merge_key")
+            spec = TABLES.get(name) or self.store.open_spec(name, cleaned[source].drop(SEQ), key)
             if key and key != spec.primary_key:
                 raise ValueError(f"{name} merges on {spec.primary_key}, not on {key}")
             batch = cleaned[source].select(*[
@@ -167,7 +175,8 @@ class SalesJob:
         """Bring dimensions and fact up to date with the staged load.
 
         Facts are rebuilt for the months of sales this load has changed, under new keys; the others
-        keep the versions they were loaded with.
+        keep the versions they were loaded with. Sales without a date have no fact; ``undated_sales``
+        counts those of the changed months.
         """
         for spec, table, key, tracked in (
             (DIM_PRODUCT, PRODUCTS, "product_id", star.PRODUCT_TRACKED),
@@ -180,7 +189,11 @@ class SalesJob:
         months = self.store.staged_months(SALES)
         if not months:
             return
-        sales = self.store.read(SALES, months)
+        changed = self.store.read(SALES, months)
+        self.undated_sales = changed.filter("sale_date IS NULL").count()
+        if self.undated_sales:
+            log.warning("%d sales without a date have no fact", self.undated_sales)
+        sales = changed.filter("sale_date IS NOT NULL")
         known = self.store.read(DIM_DATE)
         dates = star.date_dimension(sales, self._holidays())
         dates = known.unionByName(dates.join(known.select("date_key"), "date_key", "left_anti"))
@@ -226,9 +239,6 @@ class SalesJob:
             if self.config["star_schema"]:
                 self.build_star(clock())
             self.store.publish(clock())
-            if self.config["gold"]:
-                for report, table in self.reports().items():
-                    self._land("gold", report, table).createOrReplaceTempView(report)
         except Exception as failure:
             log.error("run %d failed: %s", run_id, failure)
             self.store.discard()
@@ -236,4 +246,14 @@ class SalesJob:
             return RunResult(run_id, FAILED, error=str(failure), quality=results)
         self.audit.end(run_id, name, COMPLETED, records, clock())
         self.register()
-        return RunResult(run_id, COMPLETED, records, quality=results)
+        result = RunResult(
+            run_id, COMPLETED, records, quality=results, undated_sales=self.undated_sales
+        )
+        if self.config["gold"]:
+            try:
+                for report, table in self.reports().items():
+                    self._land("gold", report, table).createOrReplaceTempView(report)
+            except Exception as failure:
+                log.exception("run %d is loaded, but its reports failed", run_id)
+                result.gold_error = str(failure)
+        return result

@@ -70,9 +70,21 @@ class TableStore:
             )
         return self._listed[known]
 
+    def open_spec(self, name: str, batch: DataFrame | None = None, key: str | None = None) -> TableSpec:
+        """The definition of a table outside ``TABLES``: its stored columns, or those of its first batch.
+
+        A later batch must bring the same columns, in any order.
+        """
+        paths = sorted(self._slices.get(name, {}).values())
+        schema = self.spark.read.parquet(paths[0]).schema if paths else batch.schema
+        if batch is not None and set(batch.columns) != set(schema.names):
+            raise ValueError(f"{name} has the columns {schema.names}, the batch {batch.columns}")
+        return TableSpec(name, schema, key)
+
     def register(self) -> None:
         """Make every table readable by name from SQL."""
-        for spec in TABLES.values():
+        other = [self.open_spec(name) for name, slices in self._slices.items() if slices and name not in TABLES]
+        for spec in (*TABLES.values(), *other):
             self.read(spec).createOrReplaceTempView(spec.name)
 
     def _new_folder(self, name: str) -> str:

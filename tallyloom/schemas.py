@@ -21,12 +21,12 @@ class TableSpec:
     """One stored table.
 
     ``slice_date`` names the column, a date or a yyyymmdd key, whose month splits the stored files,
-    so that a load rewrites only the months it touches.
+    so that a load rewrites only the months it touches. A table without a primary key is only appended to.
     """
 
     name: str
     schema: T.StructType
-    primary_key: str
+    primary_key: str | None
     unique: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
@@ -37,6 +37,11 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def keys(self) -> list[str]:
+        """Columns that hold no value twice."""
+        return [c for c in (self.primary_key, *self.unique) if c is not None]
+
     @property
     def load_columns(self) -> list[str]:
         """What a source delivers: every column but those filled in by default."""

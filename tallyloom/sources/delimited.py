@@ -51,6 +51,32 @@ def _typed(name: str, kind: str) -> Column:
     )
 
 
+def inferred_types(cells: DataFrame) -> dict[str, str]:
+    """bigint, double or boolean for the text columns all of whose cells are; one pass over all rows.
+
+    A column with other cells, or with none but nulls, is left out and stays text.
+    """
+    names = [f.name for f in cells.schema.fields if f.dataType.simpleString() == "string"]
+    if not names:
+        return {}
+    counts = []
+    for i, name in enumerate(names):
+        text = F.trim(F.col(name))
+        counts += [
+            F.count(text).alias(f"n{i}"),
+            F.count(text.try_cast("bigint")).alias(f"bigint{i}"),
+            F.count_if(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")).alias(f"double{i}"),
+            F.count_if(F.lower(text).isin("true", "false")).alias(f"boolean{i}"),
+        ]
+    found = cells.agg(*counts).first()
+    types = {}
+    for i, name in enumerate(names):
+        kind = next((k for k in ("bigint", "double", "boolean") if found[f"{k}{i}"] == found[f"n{i}"]), None)
+        if kind and found[f"n{i}"]:
+            types[name] = kind
+    return types
+
+
 def typed(cells: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the text columns named in ``types``; a malformed value fails the job."""
     return cells.withColumns({

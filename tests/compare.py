@@ -14,7 +14,10 @@ import pandas as pd
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -152,6 +152,48 @@ def test_a_late_failure_publishes_nothing(spark, tmp_path):
     assert TableStore(spark, root).read(SALES).count() == 0
 
 
+def test_failing_reports_leave_the_load(spark, tmp_path, monkeypatch):
+    def broken(self):
+        raise RuntimeError("no report today")
+
+    monkeypatch.setattr(SalesJob, "reports", broken)
+    root = str(tmp_path / "lake")
+    result = SalesJob(spark, {"sources": write_sources(tmp_path)}, root).run(NOW)
+    assert (result.status, result.records, result.gold_error) == ("COMPLETED", 11, "no report today")
+    run = AuditLog(spark, root).runs().first()
+    assert (run.status, run.records_processed) == ("COMPLETED", 11)
+    assert TableStore(spark, root).read(SALES).count() == 5
+
+
+def test_a_sale_without_a_date_is_loaded(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    result = SalesJob(spark, {"sources": write_sources(tmp_path, sales=SALES_CSV + "6,101,201,1,,10\n")}, root).run(NOW)
+    assert (result.status, result.records, result.undated_sales, result.gold_error) == ("COMPLETED", 12, 1, None)
+    store = TableStore(spark, root)
+    assert store.read(SALES).filter("sale_date IS NULL").count() == 1
+    assert store.read(FACT_SALES).count() == 5 and store.read(DIM_DATE).count() == 5
+
+
+def test_any_source_to_any_table(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    path = tmp_path / "returns.csv"
+    config = {
+        "sources": [{"name": "returns", "type": "csv", "path": str(path)}], "star_schema": False, "gold": False,
+        "destinations": [{"source": "returns", "table": "returns"}],
+    }
+    path.write_text("return_id,reason,refund,open,empty\n1,late,2.5,true,\n2,7,3,FALSE,\n")
+    assert SalesJob(spark, config, root).run(NOW).records == 2
+    path.write_text("return_id,reason,refund,open,empty\n2,late,4.5,true,x\n")
+    assert SalesJob(spark, config, root).run(NOW).records == 1
+    table = spark.table("returns")
+    assert dict(table.dtypes) == {
+        "return_id": "bigint", "reason": "string", "refund": "double", "open": "boolean", "empty": "string"}
+    assert sorted((r.return_id, r.reason, r.refund, r.open, r.empty) for r in table.collect()) == [
+        (1, "late", 2.5, True, None), (2, "7", 3.0, False, None), (2, "late", 4.5, True, "x")]
+    path.write_text("return_id,reason\n3,late\n")
+    assert "has the columns" in SalesJob(spark, config, root).run(NOW).error
+
+
 def test_absent_sources_and_query_sources(spark, tmp_path):
     root = str(tmp_path / "lake")
     SalesJob(spark, append_only(tmp_path), root).run(NOW)
