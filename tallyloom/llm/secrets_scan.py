@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.workspace import small_batches
 
-# A compressed run that unfolds to more bytes is reported as oversize and not read.
+# The bytes that the compressed runs of a text may unfold to in all its layers: so many, and so many more for each
+# character. A run that would go beyond them is reported as oversize and not read.
 MAX_INFLATED = 16 << 20
+MORE_INFLATED = 64
 
 # Fixed patterns: kind, pattern, group that must be long enough, its length.
 KINDS = (
@@ -54,8 +56,8 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The bytes of a compressed run; None if it is none; raises OverflowError if they are too many."""
+def _inflate(data: bytes, limit: int) -> bytes | None:
+    """The bytes of a compressed run; None if it is none; raises OverflowError if they are over ``limit``."""
     if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
         makers = (lambda: zlib.decompressobj(47),)
     elif data[:3] == b"BZh":
@@ -66,14 +68,13 @@ def _inflate(data: bytes) -> bytes | None:
         return None
     try:
         machine = makers[0]()
-        out = machine.decompress(data, MAX_INFLATED)
+        # One byte more than the limit tells a run that goes over it; a length of 0 would mean no limit.
+        out = machine.decompress(data, limit + 1)
     except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
         return None
-    if not machine.eof:
-        if len(out) >= MAX_INFLATED:
-            raise OverflowError
-        return None
-    return out
+    if len(out) > limit:
+        raise OverflowError
+    return out if machine.eof else None
 
 
 def _plain(data: bytes) -> str | None:
@@ -111,7 +112,7 @@ def _units(run: str) -> list[tuple[str, int, int]] | None:
     return out
 
 
-def _base64(run: str) -> tuple[str, bool] | None:
+def _base64(run: str, limit: int) -> tuple[str, bool] | None:
     """(text, inflated) of a base64 run of text or of compressed text."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
@@ -120,7 +121,7 @@ def _base64(run: str) -> tuple[str, bool] | None:
         data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
-    packed = _inflate(data)
+    packed = _inflate(data, limit)
     if packed is not None:
         inner = _plain(packed)
         return (inner, True) if inner is not None else None
@@ -128,10 +129,11 @@ def _base64(run: str) -> tuple[str, bool] | None:
     return (text, False) if text is not None else None
 
 
-def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None):
-    """(text, begin, end, oversize) of the following layer, text None if nothing was decoded.
+def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None, left: int):
+    """(text, begin, end, oversize, left) of the following layer, text None if nothing was decoded.
 
     ``begin`` and ``end`` are the range of the original for each character; None: its own place.
+    ``left`` is the number of bytes that compressed runs may still unfold to.
     """
     parts, at, oversize = [], 0, 0
     begins, ends = [], []
@@ -153,7 +155,7 @@ def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None):
             last = [int(past[min(a + e, b) - 1]) for _, _, e in units]
         else:
             try:
-                decoded = _base64(run)
+                decoded = _base64(run, left)
             except OverflowError:
                 oversize += 1
                 continue
@@ -161,7 +163,8 @@ def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None):
                 continue
             new, inflated = decoded
             if inflated:
-                first, last = [int(here[a])] * len(new), [int(past[b - 1])] * len(new)
+                left -= len(new.encode())
+                first, last = np.full(len(new), here[a]), np.full(len(new), past[b - 1])
             else:
                 sizes = [len(c.encode()) for c in new]
                 offs = np.cumsum([0, *sizes])
@@ -173,22 +176,23 @@ def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None):
         ends += [past[at:a], np.asarray(last, np.int64)]
         at = b
     if not parts:
-        return None, None, None, oversize
+        return None, None, None, oversize, left
     parts.append(text[at:])
     begins.append(here[at:])
     ends.append(past[at:])
-    return "".join(parts), np.concatenate(begins), np.concatenate(ends), oversize
+    return "".join(parts), np.concatenate(begins), np.concatenate(ends), oversize, left
 
 
 def scan_layers(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
     """Base finds, finds of all layers as spans of the original, layers read, oversize runs."""
     base = scan(text)
-    found, seen, layers, oversize = set(base), set(), 1, 0
+    found, seen, layers = set(base), set(), 1
+    left = MAX_INFLATED + MORE_INFLATED * len(text)
     layer, begin, end = text, None, None
     while True:
         seen.add(hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        layer, begin, end, over = _next_layer(layer, begin, end)
-        oversize += over
+        # Runs too large stay in every later layer, so those of the last one are all.
+        layer, begin, end, oversize, left = _next_layer(layer, begin, end, left)
         if layer is None or hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest() in seen:
             return base, sorted(found), layers, oversize
         layers += 1

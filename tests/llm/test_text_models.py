@@ -41,6 +41,16 @@ def test_layers_map_to_the_original():
     assert scan_layers("%25%32%35" * 3)[2] < 10
 
 
+def test_compressed_runs_unfold_up_to_a_bound(monkeypatch):
+    packed = [base64.b64encode(zlib.compress(f"{i} {SECRET}{i} {'x ' * 300}".encode())).decode() for i in range(3)]
+    text = f"a {packed[0]} b {packed[1]} c {packed[2]}"
+    assert [len(x) if isinstance(x, list) else x for x in scan_layers(text)[1:]] == [3, 2, 0]
+    monkeypatch.setattr("tallyloom.llm.secrets_scan.MAX_INFLATED", 1300)
+    monkeypatch.setattr("tallyloom.llm.secrets_scan.MORE_INFLATED", 0)
+    base, found, layers, oversize = scan_layers(text)
+    assert (len(found), layers, oversize) == (2, 2, 1)
+
+
 def test_find_secrets_edges(shared):
     rows = [(1, None, None), (None, SECRET, None), (2, "", "en"), (3, "é" * 50_000 + SECRET, "en")]
     got = {r.doc_id: r for r in find_secrets(shared.createDataFrame(rows, DOCS)).collect()}
