@@ -132,7 +132,8 @@ def fit(
 ) -> Model | None:
     """A model of the rows (text binary, lang string not null, draw bigint); None without rows."""
     spark = labelled.sparkSession
-    languages = sorted(r["lang"] for r in labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    languages = sorted(r["lang"] for r in sizes)
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
@@ -140,17 +141,13 @@ def fit(
     held, total = _document_counts(labelled.select("text"))
     idf = (np.log((1 + total) / (1 + held)) + 1).astype(np.float32)
     sent = spark.sparkContext.broadcast((idf, centroids))
-    # The texts with the smallest draws, found slice by slice of the draws, never by one sort of a language.
-    counts = labelled.groupBy("lang", F.shiftright("draw", 48).alias("slice")).count()
-    steps = {}
-    for r in counts.groupBy("lang", "slice").agg(F.sum("count").alias("n")).orderBy("lang", "slice").collect():
-        at, n = steps.get(r["lang"], (None, 0))
-        if n < per_language:
-            steps[r["lang"]] = (r["slice"], n + r["n"])
-    bound = spark.createDataFrame([(k, v[0]) for k, v in steps.items()], "_lang string, _slice bigint")
+    # The texts with the smallest draws. Draws are even, so this bound leaves a language a little over twice
+    # the texts that are used, however many it has; repeated rows share a draw and count once.
+    share = [(r["lang"], min(1.0, (2 * per_language + 200) / max(r["n"], 1))) for r in sizes]
+    bound = spark.createDataFrame(share, "_lang string, _share double")
     near = labelled.join(F.broadcast(bound), F.col("lang") == F.col("_lang")).filter(
-        F.shiftright("draw", 48) <= F.col("_slice")
-    )
+        F.col("draw") <= F.col("_share") * float(1 << 63)
+    ).dropDuplicates(["lang", "draw"])
 
     def centre(frame: pd.DataFrame) -> pd.DataFrame:
         idf, k = sent.value
