@@ -36,16 +36,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group; five words, a similarity of 0.8.
 
-    Documents without words or id stay; of repeated rows one stays.
+    Documents without words or id stay; of repeated rows one stays. Unlike texts of one id are
+    documents of their own, each in its group; of alike ones that with the smallest hash stays.
     """
-    groups = jaccard_groups(docs, words=5, percent=80)
-    leaders = groups.filter("doc_id = component_id AND n_shingles > 0").select(
-        F.col("doc_id").alias("_leader")
-    ).distinct()
-    real = docs.filter(F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    rest = docs.filter(~(F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))))
-    kept = real.join(leaders, F.col("doc_id") == F.col("_leader"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(rest)
+    groups = jaccard_groups(docs, words=5, percent=80).filter("doc_id = component_id AND n_shingles > 0")
+    leaders = groups.groupBy("group_id").agg(F.min(F.struct("doc_id", "fp")).alias("least")).select(
+        F.col("least.doc_id").alias("_leader"), F.col("least.fp").alias("_fp")
+    )
+    worded = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = (F.col("doc_id") == F.col("_leader")) & (F.col("_text_fp") == F.col("_fp"))
+    real = docs.filter(worded).withColumn("_text_fp", _fp())
+    kept = real.join(leaders, same, "left_semi").dropDuplicates(["doc_id", "_text_fp"])
+    return kept.select(*docs.columns).union(docs.filter(~worded))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

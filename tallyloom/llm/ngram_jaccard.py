@@ -76,19 +76,19 @@ def _needs(n: Column, m: Column, percent: int) -> Column:
 
 
 def _summaries(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, rare): set size, digest, and the smallest hashes."""
+    """(doc_id, fp, n, digest, rare): hash of the text, set size, digest, and the smallest hashes."""
 
     def summarise(batches):
         for batch in batches:
             sets = list(ngram_sets(batch.column(1), words))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0),
+                batch.column(0), batch.column(2),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 _lists([s[: _kept(len(s), percent)] for s in sets]),
-            ], ["doc_id", "n", "digest", "rare"])
+            ], ["doc_id", "fp", "n", "digest", "rare"])
 
-    return docs.mapInArrow(summarise, "doc_id bigint, n bigint, digest binary, rare array<bigint>")
+    return docs.mapInArrow(summarise, "doc_id bigint, fp bigint, n bigint, digest binary, rare array<bigint>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -225,11 +225,12 @@ def _led_pairs(space: Workspace, compared: DataFrame, percent: int) -> DataFrame
 def jaccard_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, class_id, fp, group_id) of every row of ``docs``.
 
     Letters A-Z are lower-cased; words are runs of anything but ASCII white space.
     ``component_id`` is the smallest id reachable by links, the row's own included; ``class_id``
-    the smallest id with an equal set. Other columns of ``docs`` are not read.
+    the smallest id with an equal set; ``fp`` a hash of the text. ``group_id`` numbers the components of one
+    call and tells two of them apart that have one smallest id. Other columns of ``docs`` are not read.
 
     - A null or wordless text has an empty set, is linked with nothing and is its own component.
     - A text of fewer words than ``words`` has one n-gram, the whole of it.
@@ -240,7 +241,8 @@ def jaccard_groups(
     """
     space = Workspace(docs.sparkSession)
     texts = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("fp"),
     )
     summaries = _summaries(texts, words, percent).withColumn("row", F.monotonically_increasing_id())
     heavy = space.pin(summaries, "sets")
@@ -273,11 +275,12 @@ def jaccard_groups(
 
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    labels = rooted.join(least, "root").select(F.col("digest").alias("_digest"), "class_id", "component_id")
+    labels = rooted.join(least, "root").select(F.col("digest").alias("_digest"), "class_id", "component_id", "root")
     linked = real.join(labels, F.col("digest") == F.col("_digest")).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", "fp", F.col("root").alias("group_id")
     )
     alone = rows.filter("n = 0 OR doc_id IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"),
+        "fp", F.col("row").alias("group_id"),
     )
     return linked.union(alone)

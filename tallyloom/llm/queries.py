@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
+    return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, percent=90).drop("fp", "group_id")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
