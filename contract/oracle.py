@@ -216,9 +216,11 @@ _CLEAN = f"""{_RAW},
                     ELSE 'Other' END AS customer_segment
         FROM clean_emails)"""
 
-SALES_TRANSFORM = f"WITH {_CLEAN} SELECT * FROM clean_sales"
-PRODUCT_TRANSFORM = f"WITH {_CLEAN} SELECT * FROM clean_products"
-CUSTOMER_TRANSFORM = f"WITH {_CLEAN} SELECT * FROM clean_customers"
+_STAMP = "'1999-01-01 00:00:00' AS transformed_at"
+
+SALES_TRANSFORM = f"WITH {_CLEAN} SELECT *, {_STAMP} FROM clean_sales"
+PRODUCT_TRANSFORM = f"WITH {_CLEAN} SELECT *, {_STAMP} FROM clean_products"
+CUSTOMER_TRANSFORM = f"WITH {_CLEAN} SELECT *, {_STAMP} FROM clean_customers"
 
 # Star schema
 
@@ -257,6 +259,13 @@ FROM {table}
 """
 
 
+DIMENSION_SET = f"""
+WITH {_CLEAN}
+SELECT 'dim_date' AS dimension, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS business_key FROM ({_DATES})
+UNION ALL SELECT 'dim_product', CAST(product_id AS BIGINT) FROM clean_products
+UNION ALL SELECT 'dim_customer', CAST(customer_id AS BIGINT) FROM clean_customers
+"""
+
 DIM_PRODUCT = _first_versions("clean_products", "product_key", "product_id")
 DIM_CUSTOMER = _first_versions("clean_customers", "customer_key", "customer_id")
 
@@ -519,6 +528,7 @@ ORACLE = {
     "fact_denormalized": FACT_DENORMALIZED,
     "dim_date": DIM_DATE,
     "holiday_flag": HOLIDAY_FLAG,
+    "dimension_set": DIMENSION_SET,
     "dim_product": DIM_PRODUCT,
     "dim_customer": DIM_CUSTOMER,
     "scd2_merge": SCD2_MERGE,

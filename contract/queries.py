@@ -127,25 +127,34 @@ def loaded_dynamic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Cleaning and enriching
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _transformed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = {
         "sales": views.raw_sales(spark, sf_dir),
         "products": views.raw_products(spark, sf_dir),
         "customers": views.raw_customers(spark, sf_dir),
     }
-    return {name: transform(name, table, NOW).drop("transformed_at") for name, table in raw.items()}
+    return {name: transform(name, table, NOW) for name, table in raw.items()}
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: table.drop("transformed_at") for name, table in _transformed(spark, sf_dir).items()}
+
+
+def _stamped(table: DataFrame) -> DataFrame:
+    """The time of the transform as text, which reads the same in any session's time zone."""
+    return table.withColumn("transformed_at", F.date_format("transformed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def sales_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir)["sales"]
+    return _stamped(_transformed(spark, sf_dir)["sales"])
 
 
 def product_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir)["products"]
+    return _stamped(_transformed(spark, sf_dir)["products"])
 
 
 def customer_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir)["customers"]
+    return _stamped(_transformed(spark, sf_dir)["customers"])
 
 
 # Star schema
@@ -169,6 +178,16 @@ def holiday_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.date_dimension(sales, holidays).select("full_date", "is_holiday")
 
 
+def dimension_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of all three dimensions built in one call, by the name of the dimension."""
+    built = star.dimensions(**_clean(spark, sf_dir), as_of=NOW.date())
+    keys = {"dim_date": "date_key", "dim_product": "product_id", "dim_customer": "customer_id"}
+    return reduce(DataFrame.unionByName, [
+        built[name].select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("business_key"))
+        for name, key in keys.items()
+    ])
+
+
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.product_dimension(_clean(spark, sf_dir)["products"], AS_OF)
 
@@ -387,7 +406,7 @@ QUERIES = {
         sales_metrics_uncategorised, product_performance_uncategorised,
         loaded_sales_summary, loaded_product_performance, loaded_sales_metrics, loaded_dynamic_report,
         sales_transform, product_transform, customer_transform,
-        fact_denormalized, dim_date, holiday_flag, dim_product, dim_customer, scd2_merge, fact_keyed,
+        fact_denormalized, dim_date, holiday_flag, dimension_set, dim_product, dim_customer, scd2_merge, fact_keyed,
         fact_point_in_time,
         dq_not_null, dq_ranges, dq_unique, dq_custom, dq_log, dq_report_summary, dq_gate,
         constraint_check, fk_orphans,
