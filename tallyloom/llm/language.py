@@ -3,7 +3,8 @@
 A text is a TF-IDF vector of its byte n-grams of one to four bytes, over letters only and hashed to DIM
 cells, normalised. The vectors of each language are clustered into a few centroids (spherical
 k-means), and a text has the language of the centroid with the highest cosine. It is rejected if
-that cosine is further off than texts of its length ever are in the language.
+that cosine is lower than labelled texts of the language and of its length have with centroids that
+were fitted without them. Length is the number of cells a text fills, as lines that repeat add nothing.
 
 Document counts for the IDF cover every labelled text. The clusters are fitted on at most
 ``per_language`` labelled texts of each language, those with the smallest hash of id and text.
@@ -25,10 +26,15 @@ PER_LANGUAGE = 600
 CENTROIDS = 4
 # More languages than this are refused: the model is sent to every task.
 MAX_LANGUAGES = 1000
-# Cosines below this share of the least one seen in fitting, for the length, are rejected.
-SLACK = 0.35
+# The bound of a language and length is this quantile of the cosines of labelled texts outside the fit, less
+# MARGIN of its distance from their median. Both were chosen on the held-out texts of sf0.1.
+QUANTILE = 0.02
+MARGIN = 1.0
+# A language with fewer labelled texts has the lowest bound that others have for the length.
+LEAST_TEXTS = 20
 
-_LENGTHS = 20
+_LENGTHS = 24
+_NEIGHBOURS = 100
 
 
 def _letters() -> np.ndarray:
@@ -75,8 +81,8 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _length(counts: np.ndarray) -> np.ndarray:
-    """Class of a text's length: the binary logarithm of its n-grams."""
-    return np.minimum(np.log2(1 + counts.sum(axis=1)).astype(int), _LENGTHS - 1)
+    """Class of a text's length: twice the binary logarithm of the cells it fills."""
+    return np.minimum(np.rint(2 * np.log2(1 + (counts > 0).sum(axis=1))).astype(int), _LENGTHS - 1)
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -94,6 +100,34 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def outside(x: np.ndarray, k: int) -> np.ndarray:
+    """Cosine of every row with the nearest centroid of a fit on the other half of the rows."""
+    half = np.arange(len(x)) % 2 == 0
+    score = np.zeros(len(x))
+    for part in (half, ~half):
+        score[part] = (x[part] @ cluster(x[~part], k).T).max(axis=1)
+    return score
+
+
+def least_cosines(score: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bound for every class of length; zeros if there are too few texts to tell."""
+    if len(score) < LEAST_TEXTS:
+        return np.zeros(_LENGTHS)
+    known = [i for i in range(_LENGTHS) if (size == i).sum() >= 5] or [int(np.median(size))]
+    usual = np.interp(np.arange(_LENGTHS), known, [np.median(score[np.abs(size - i) <= (len(known) == 1)]) for i in known])
+    # The cosine of a sample falls by the root of its length.
+    below = np.arange(known[0])
+    usual[below] = usual[known[0]] * 0.5 ** ((known[0] - below) / 4)
+    ratio = score / np.maximum(usual[size], 1e-12)
+    least = np.zeros(_LENGTHS)
+    for i in range(_LENGTHS):
+        far = np.abs(size - i)
+        some = ratio[far <= np.sort(far)[min(_NEIGHBOURS, len(far)) - 1]]
+        low, middle = np.quantile(some, [QUANTILE, 0.5])
+        least[i] = usual[i] * max(0.0, low - MARGIN * (middle - low))
+    return least
+
+
 def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Texts that hold each cell, and texts: one short row a task and cell reaches the aggregate."""
 
@@ -155,16 +189,7 @@ def fit(
         counts = np.concatenate([c for _, c in counts_of(pa.array(frame["text"].tolist(), pa.binary()))])
         x = weigh(counts, idf)
         found = cluster(x, k)
-        score, size = (x @ found.T).max(axis=1), _length(counts)
-        least = np.ones(_LENGTHS)
-        for i in range(_LENGTHS):
-            if (size == i).any():
-                least[i] = score[size == i].min()
-        # No more is asked of a shorter text than of a longer one; below the shortest length seen, less
-        # by the root of the length, as the cosine of a sample falls.
-        low = np.minimum.accumulate(least[::-1])[::-1]
-        shortest = int(size.min())
-        low[:shortest] = low[shortest] * 0.5 ** ((shortest - np.arange(shortest)) / 2)
+        low = least_cosines(outside(x, k), _length(counts)) if len(x) >= LEAST_TEXTS else np.zeros(_LENGTHS)
         return pd.DataFrame({
             "lang": frame["lang"].iloc[0], "centroids": [found.astype(np.float32).tobytes()],
             "least": [low.astype(np.float64).tobytes()],
@@ -175,7 +200,10 @@ def fit(
     ).collect()
     fitted = {r["lang"]: r for r in fitted}
     parts = [np.frombuffer(bytes(fitted[x]["centroids"]), np.float32).reshape(-1, DIM) for x in languages]
-    least = np.stack([np.frombuffer(bytes(fitted[x]["least"]), np.float64) for x in languages]) * SLACK
+    least = np.stack([np.frombuffer(bytes(fitted[x]["least"]), np.float64) for x in languages])
+    told = least.any(axis=1)
+    if told.any():
+        least[~told] = least[told].min(axis=0)
     owner = np.concatenate([np.full(len(p), i) for i, p in enumerate(parts)])
     return Model(languages, idf, np.concatenate(parts), owner, least)
 
@@ -191,6 +219,7 @@ def identify(
 
     - A null text, or one without a letter, is ``und`` with score 0, and rejected.
     - Any other text has a learned language, also if it is rejected; ``und`` if none was learned.
+    - Rejected is a text further off than all but about QUANTILE of the labelled texts of the language and length. Where no language has LEAST_TEXTS labelled texts, nothing with letters is rejected.
     - A null id is held out of learning. Repeated rows are told alike, ties by the first centroid.
     - An empty table gives an empty table.
     """

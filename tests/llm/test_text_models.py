@@ -75,6 +75,28 @@ def test_language(shared, prose):
     assert nothing.language.lang_pred == "und"
 
 
+def test_language_rejects_what_it_did_not_learn(shared, prose):
+    rng = prose.rng
+
+    def syllables():
+        return [rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice(("", "n", "r", "s")) for _ in range(30)]
+
+    def text(parts):
+        return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(40, 300)))
+
+    known, unlearned = {lang: syllables() for lang in ("xx", "yy", "zz")}, syllables()
+    rows = [(i, text(known[lang]), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 120)]
+    # An odd labelled text must not open the bound for all.
+    rows += [(i, text(list("abcdefghijklmnopqrstuvwxyz")), "xx") for i in (360,)]
+    rows += [(1000 + i, text(unlearned), None) for i in range(40)]
+    rows += [(2000 + i, text(list("abcdefghijklmnopqrstuvwxyz")), None) for i in range(40)]
+    rows += [(3000 + i, text(list("бвгджзклмнпрстаеиоу")), None) for i in range(40)]
+    got = [(r.doc_id, r.lang, r.language) for r in identify(shared.createDataFrame(rows, DOCS)).collect()]
+    held = [told for i, _, told in got if i < 360 and told.held_out]
+    assert len(held) > 80 and sum(told.rejected for told in held) <= len(held) // 50
+    assert all(told.rejected for i, _, told in got if i >= 1000)
+
+
 def test_url_rules(shared):
     urls = {
         1: ("https://A.Example.com/en/1", "a.example.com", "/en/1", "example.com/en/", "block"),
