@@ -10,12 +10,12 @@ came from, so a find in any layer is told as a span of the original.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,13 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 _KEY = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=%\\-])(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}(?![A-Za-z0-9+/_=%\\-])")
+# Characters of either base64 alphabet, lines of them joined.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:(?:\r\n|[\n\r])[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+_BREAK = re.compile(r"[\r\n][\r\n \t]*")
+_SEPARATOR = re.compile(r"[/_-]")
+# Fewer characters than this are not tried.
+_SHORTEST = 16
+_SPACES = dict.fromkeys(map(ord, "\t\r\n"))
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -56,34 +62,51 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The bytes of a compressed run; None if it is none; raises OverflowError if they are over ``limit``."""
+def _machine(data: bytes):
+    """A decompressor for bytes that begin like a compressed run."""
     if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
-        makers = (lambda: zlib.decompressobj(47),)
-    elif data[:3] == b"BZh":
-        makers = (bz2.BZ2Decompressor,)
-    elif data[:6] == b"\xfd7zXZ\x00":
-        makers = (lzma.LZMADecompressor,)
-    else:
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
+    """(bytes, length read) of a compressed run; None if it is none; raises OverflowError over ``limit``."""
+    machine = _machine(data)
+    if machine is None:
         return None
     try:
-        machine = makers[0]()
         # One byte more than the limit tells a run that goes over it; a length of 0 would mean no limit.
         out = machine.decompress(data, limit + 1)
     except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
         return None
     if len(out) > limit:
         raise OverflowError
-    return out if machine.eof else None
+    return (out, len(data) - len(machine.unused_data)) if machine.eof else None
+
+
+def _begins_packed(data: bytes) -> bool:
+    """Whether the first bytes of a run unfold without an error."""
+    machine = _machine(data)
+    if machine is None:
+        return False
+    try:
+        machine.decompress(data, 1 << 12)
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return False
+    return True
 
 
-def _plain(data: bytes) -> str | None:
-    """Bytes as text, if they are printable text."""
+def _printable(data: bytes) -> int:
+    """Number of bytes at the beginning that are printable text."""
     try:
         text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+    except UnicodeDecodeError as e:
+        text = data[: e.start].decode("utf-8")
+    if not text.translate(_SPACES).isprintable():
+        text = text[: next(i for i, c in enumerate(text) if not c.isprintable() and c not in "\t\r\n")]
+    return len(text.encode())
 
 
 def _units(run: str) -> list[tuple[str, int, int]] | None:
@@ -112,21 +135,80 @@ def _units(run: str) -> list[tuple[str, int, int]] | None:
     return out
 
 
-def _base64(run: str, limit: int) -> tuple[str, bool] | None:
-    """(text, inflated) of a base64 run of text or of compressed text."""
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
+def _bytes(body: str) -> bytes:
+    """Bytes of base64 without its padding; a last character that fills no byte is left out."""
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+
+
+def _piece(body: str, start: int, ends: list[int], left: int) -> tuple[str, int, bool] | None:
+    """(text, end, inflated) of the base64 that starts at a place and reaches as far as one of ``ends``."""
+    head = _bytes(body[start : start + _SHORTEST])
+    if _machine(head) and _begins_packed(_bytes(body[start : start + 1024])):
+        data = _bytes(body[start:])
+        packed = _inflate(data, left)
+        if packed is not None:
+            unfolded, read = packed
+            if not unfolded or _printable(unfolded) < len(unfolded):
+                return None
+            return unfolded.decode("utf-8"), min(len(body), start + -(-read * 4 // 3)), True
+    # A character cut at the end of the part that was decoded is no sign of other bytes.
+    if _printable(head) < 9:
         return None
-    packed = _inflate(data, limit)
-    if packed is not None:
-        inner = _plain(packed)
-        return (inner, True) if inner is not None else None
-    text = _plain(data)
-    return (text, False) if text is not None else None
+    size = 1024
+    while True:
+        data = _bytes(body[start : start + size])
+        good = _printable(data)
+        if good < len(data) - 3 or start + size >= len(body):
+            break
+        size *= 4
+    for end in reversed(ends[: bisect_right(ends, start + good * 4 // 3 + 2)]):
+        n = end - start
+        if n < _SHORTEST:
+            return None
+        past = n * 3 // 4
+        if n % 4 != 1 and past <= good and (past == len(data) or data[past] & 0xC0 != 0x80):
+            return data[:past].decode("utf-8"), end, False
+    return None
+
+
+def _base64(run: str, left: int):
+    """(first, last, text, offsets, inflated) of the base64 in a run; text None where it is oversize.
+
+    Base64 may follow or precede other words, so it is tried from the beginning of the run, of each line and after each
+    separator, the earliest first, and reaches as far as there is text, up to the end of the run, of a line or a
+    separator. ``offsets`` are the places in the run of the characters of the base64.
+    """
+    bare = run.rstrip("=")
+    breaks = list(_BREAK.finditer(bare))
+    body = _BREAK.sub("", bare) if breaks else bare
+    if breaks:
+        keep = np.ones(len(bare), bool)
+        for m in breaks:
+            keep[m.start() : m.end()] = False
+        place = np.flatnonzero(keep)
+        lines = np.searchsorted(place, [m.end() for m in breaks]).tolist()
+    else:
+        place, lines = np.arange(len(bare)), []
+    marks = [m.start() for m in _SEPARATOR.finditer(body)]
+    starts = sorted({0, *lines, *(m + 1 for m in marks)})
+    ends = sorted({*lines, *marks, len(body)})
+    at = 0
+    for start in starts:
+        if start < at or len(body) - start < _SHORTEST:
+            continue
+        try:
+            piece = _piece(body, start, ends, left)
+        except OverflowError:
+            yield int(place[start]), len(run), None, None, True
+            return
+        if piece is None:
+            continue
+        text, at, inflated = piece
+        if inflated:
+            left -= len(text.encode())
+        last = len(run) if at == len(body) else int(place[at - 1]) + 1
+        yield int(place[start]), last, text, place[start:at], inflated
 
 
 def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None, left: int):
@@ -137,44 +219,42 @@ def _next_layer(text: str, begin: np.ndarray | None, end: np.ndarray | None, lef
     """
     parts, at, oversize = [], 0, 0
     begins, ends = [], []
-    escaped = "%" in text or "\\" in text or "&#" in text
-    matches = [(m.start(), m.end(), 0) for m in _ESCAPE.finditer(text)] if escaped else []
-    matches += [(m.start(), m.end(), 1) for m in _RUN.finditer(text)]
     here = np.arange(len(text)) if begin is None else begin
     past = np.arange(1, len(text) + 1) if end is None else end
-    for a, b, kind in sorted(matches):
+    escaped = "%" in text or "\\" in text or "&#" in text
+    escapes = [(m.start(), m.end(), u) for m in _ESCAPE.finditer(text) if (u := _units(m[0]))] if escaped else []
+    # A run beside an escape may go on in it, and is read in the next layer.
+    opened, closed = {a for a, _, _ in escapes}, {b for _, b, _ in escapes}
+    matches = [(a, b, units) for a, b, units in escapes]
+    matches += [(m.start(), m.end(), None) for m in _RUN.finditer(text) if m.start() not in closed and m.end() not in opened]
+
+    def put(a, b, new, first, last):
+        nonlocal at
+        parts.extend([text[at:a], new])
+        begins.extend([here[at:a], np.asarray(first, np.int64)])
+        ends.extend([past[at:a], np.asarray(last, np.int64)])
+        at = b
+
+    for a, b, units in sorted(matches, key=lambda m: m[:2]):
         if a < at:
             continue
-        run = text[a:b]
-        if kind == 0:
-            units = _units(run)
-            if not units:
-                continue
-            new = "".join(c for c, _, _ in units)
-            first = [int(here[a + s]) for _, s, _ in units]
-            last = [int(past[min(a + e, b) - 1]) for _, _, e in units]
-        else:
-            try:
-                decoded = _base64(run, left)
-            except OverflowError:
+        if units is not None:
+            put(
+                a, b, "".join(c for c, _, _ in units), [int(here[a + s]) for _, s, _ in units],
+                [int(past[min(a + e, b) - 1]) for _, _, e in units],
+            )
+            continue
+        for low, high, new, place, inflated in _base64(text[a:b], left):
+            if new is None:
                 oversize += 1
-                continue
-            if decoded is None:
-                continue
-            new, inflated = decoded
-            if inflated:
+            elif inflated:
                 left -= len(new.encode())
-                first, last = np.full(len(new), here[a]), np.full(len(new), past[b - 1])
+                put(a + low, a + high, new, np.full(len(new), here[a + low]), np.full(len(new), past[a + high - 1]))
             else:
-                sizes = [len(c.encode()) for c in new]
-                offs = np.cumsum([0, *sizes])
+                offs = np.cumsum([0, *(len(c.encode()) for c in new)])
                 # Byte k of the run's bytes is told by characters k*4//3 to (k*4+3)//3 of it.
-                first = [int(here[a + int(k) * 4 // 3]) for k in offs[:-1]]
-                last = [int(past[min(a + (int(k) * 4 + 2) // 3, b) - 1]) for k in offs[1:]]
-        parts += [text[at:a], new]
-        begins += [here[at:a], np.asarray(first, np.int64)]
-        ends += [past[at:a], np.asarray(last, np.int64)]
-        at = b
+                first, last = place[offs[:-1] * 4 // 3], place[np.minimum((offs[1:] * 4 + 2) // 3, len(place)) - 1]
+                put(a + low, a + high, new, here[a + first], past[a + last])
     if not parts:
         return None, None, None, oversize, left
     parts.append(text[at:])

@@ -1,6 +1,7 @@
 """Operators 3, 5, 8 and 10 and the registration of the queries."""
 
 import base64
+import gzip
 import zlib
 from urllib.parse import quote
 
@@ -41,6 +42,29 @@ def test_layers_map_to_the_original():
     assert scan_layers("%25%32%35" * 3)[2] < 10
 
 
+def test_base64_beside_separators_and_in_lines():
+    inner = base64.b64encode(SECRET.encode()).decode()
+    bare = inner.rstrip("=")
+    for text, begin, end in (
+        (f"DATA={inner}", 5, 35), (f"https://h.io/?d={inner}&x=1", 16, 46), (f"see io/x/{inner}", 9, 39),
+        (f"x-{inner}", 2, 32), (f"x_{inner}", 2, 32), (f"{bare}-x", 0, 32), (f"/{bare}/x", 1, 33),
+        (f"https://h.io/?d={quote(bare)}%3D%3D", 16, 46),
+    ):
+        found = scan_layers(text)[1]
+        assert any(kind == 0 and a == begin and end - 2 <= b <= len(text) for a, kind, b in found), text
+    assert (0, 0, 41) in scan_layers(f"password={inner}")[1] and len(scan_layers(f"password={inner}")[1]) > 1
+    words = " ".join(f"{i * i * 7919:x}" for i in range(200))
+    packed = base64.b64encode(gzip.compress(f"{words} {SECRET} {words}".encode())).decode()
+    across = base64.b64encode(f"{'a ' * 22}{SECRET} {words}".encode()).decode()
+    for whole in (packed, across):
+        for end in ("\n", "\r\n"):
+            lines = [whole[i : i + 76] for i in range(0, len(whole), 76)]
+            text = end.join(["Some words before", *lines, "words after it"])
+            found = scan_layers(text)[1]
+            assert [kind for _, kind, _ in found] == [0] and len("Some words before") < found[0][0] < found[0][2]
+            assert found[0][2] <= len(text) - len("words after it")
+
+
 def test_compressed_runs_unfold_up_to_a_bound(monkeypatch):
     packed = [base64.b64encode(zlib.compress(f"{i} {SECRET}{i} {'x ' * 300}".encode())).decode() for i in range(3)]
     text = f"a {packed[0]} b {packed[1]} c {packed[2]}"
