@@ -2,6 +2,7 @@
 
 import base64
 import gzip
+import textwrap
 import zlib
 from urllib.parse import quote
 
@@ -152,6 +153,24 @@ def test_licences(shared, prose):
     assert all(got[100 + i].confirmed == family for i, (family, _) in enumerate(TEMPLATES))
 
 
+def test_licences_wrapped(shared, prose):
+    rows = [(i, "\n".join(" ".join(prose(20)) for _ in range(4)), "en") for i in range(60)]
+    long = [(family, text) for family, text in TEMPLATES if len(text) > 140]
+    assert {family for family, _ in long} >= {"gpl", "mit", "bsd"}
+    for i, (_, text) in enumerate(long):
+        for j, end in enumerate(("\n", "\r\n")):
+            notice = end.join(textwrap.wrap(text, 70))
+            rows.append((100 + 2 * i + j, end.join([" ".join(prose(20)), "", notice, " \t", " ".join(prose(20))]), "en"))
+    rows.append((300, "Released under the MIT License.\n\n" + "\n".join(textwrap.wrap(long[-1][1], 70)), "en"))
+    got = {r.doc_id: r for r in scan_licences(shared.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i].n_licence == 0 and got[i].n_paragraphs == 1 for i in range(60))
+    for i, (family, _) in enumerate(long):
+        for row in (got[100 + 2 * i], got[101 + 2 * i]):
+            assert (row.n_paragraphs, row.n_licence, row.n_confirmed, row.confirmed) == (3, 1, 1, family), row
+            assert (row.found[0].at, row.found[0].line) == (1, None)
+    assert (got[300].n_paragraphs, got[300].n_confirmed) == (2, 2)
+
+
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
