@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -9,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tallyloom.session import local_session  # noqa: E402
 
-NOW = dt.datetime(2025, 6, 1, 12, 0)
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import NOW
+from clock import NOW
 
 from tallyloom.operators.audit import AuditLog
 from tallyloom.plans.job import SalesJob

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import NOW
+from clock import NOW
 from pyspark.sql import functions as F
 
 from tallyloom.operators import integrity, quality

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import NOW
+from clock import NOW
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
