@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.decontaminate import find_benchmark
@@ -13,6 +14,7 @@ from tallyloom.llm.ngram_jaccard import jaccard_groups
 from tallyloom.llm.secrets_scan import find_secrets
 from tallyloom.llm.sharding import interleave
 from tallyloom.llm.substring_dedup import remove_repeats
+from tallyloom.llm.token_alignment import alignment_counts
 from tallyloom.llm.url_rules import judge
 
 
@@ -63,11 +65,16 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(_table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment_counts(_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_substring_dedup, op3_secret_scan, op4_embedding_near_dedup,
         op5_language_id, op6_source_mix, op7_benchmark_decontamination, op8_url_filter,
-        op9_sharding, op10_licence_scan,
+        op9_sharding, op10_licence_scan, op11_tokenizer_alignment,
     )
 }
