@@ -14,6 +14,14 @@ def _words(pattern: str, lower: bool) -> str:
     return f"regexp_extract_all({text}, '{pattern}')"
 
 
+_VECTORS = """
+vectors AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+_SCORE = "list_inner_product(q.v, c.v)::BIGINT"
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE docs AS (SELECT doc_id, {_words(_SPACED, True)} AS w FROM documents),
@@ -89,5 +97,33 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
     sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN told USING (doc_id)
+""",
+    "op12_hard_negatives": f"""
+WITH {_VECTORS},
+labelled AS (
+    SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM vectors WHERE label IS NOT NULL
+),
+scored AS (
+    SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, {_SCORE} AS score
+    FROM labelled q JOIN labelled c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""",
+    "op13_exact_top_k": f"""
+WITH {_VECTORS}
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_SCORE} DESC, c.vec_id)::INTEGER AS rank,
+    c.vec_id, {_SCORE} AS score
+FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+QUALIFY rank <= 5
 """,
 }

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm.decontaminate import find_benchmark
+from tallyloom.llm.exact_top_k import top_scores
+from tallyloom.llm.hard_negatives import hard_negatives
 from tallyloom.llm.language import identify
 from tallyloom.llm.licences import scan_licences
 from tallyloom.llm.mixing import mix
@@ -70,11 +73,22 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_counts(_table(spark, sf_dir, "documents"), a, b)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", shifted))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_substring_dedup, op3_secret_scan, op4_embedding_near_dedup,
         op5_language_id, op6_source_mix, op7_benchmark_decontamination, op8_url_filter,
-        op9_sharding, op10_licence_scan, op11_tokenizer_alignment,
+        op9_sharding, op10_licence_scan, op11_tokenizer_alignment, op12_hard_negatives,
+        op13_exact_top_k,
     )
 }
