@@ -1,6 +1,7 @@
 """Operator 11 against a plain version, and its edge cases."""
 
 import hashlib
+import json
 from collections import defaultdict
 
 import public_tokenizers
@@ -129,10 +130,35 @@ def test_long_texts_in_parts(prose, monkeypatch, encoders):
     assert [i for i, _ in left] == parts.a.tolist() and [i for i, _ in right] == parts.b.tolist()
 
 
+def test_byte_level_agrees_with_its_library(prose, tmp_path):
+    """Over odd characters and mixtures of them; also where the file is not one of plain merges."""
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    odd = [" ", "  ", "\n", "\t", "'s", "'ll", "'S", "\u00a0", "\u3000", "\x1c", "\x85", "a", "B", "é", "1", "²", "Ⅷ", "_", "!",
+           "🙂", "中", "\u200d", "\u0301", "ß", "'", "\x00", "\u180e", "\ufeff", "<|endoftext|>"]
+    texts = ["".join(prose.rng.choices(odd, k=prose.rng.randrange(1, 50))) for _ in range(3000)]
+    texts += ["".join(f"a{chr(c)}{chr(c)} {chr(c)}1" for c in range(n, n + 50)) for n in range(0, 0xD7C0, 331)]
+    wanted = [library.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert token_alignment.ByteLevel(A).encode(texts) == wanted
+    with open(A) as file:
+        told = json.load(file)
+    vocabulary = told["model"]["vocab"]
+    vocabulary["Ġt"], vocabulary["Ġa"] = vocabulary["Ġa"], vocabulary["Ġt"]
+    (tmp_path / "b.json").write_text(json.dumps(told))
+    swap = {256: 257, 257: 256}
+    other = token_alignment.ByteLevel(str(tmp_path / "b.json"))
+    assert other.encode(texts[:50] + ["at the table"]) == [
+        [swap.get(i, i) for i in ids] for ids in wanted[:50] + [library.encode(" at the table").ids]]
+    assert other.pieces[256] == b" a"
+
+
 def test_runs(prose):
-    for _ in range(300):
-        last = prose.rng.randrange(1, 60)
-        a, b = (sorted({*prose.rng.sample(range(1, last + 1), prose.rng.randrange(last)), last}) for _ in "ab")
+    for n in range(400):
+        last = prose.rng.randrange(1, 60 if n % 2 else 400)
+        a = sorted({*prose.rng.sample(range(1, last + 1), prose.rng.randrange(last)), last})
+        b = sorted({*prose.rng.sample(range(1, last + 1), prose.rng.randrange(last)), last})
+        if n % 4 > 1:  # long one-to-one stretches
+            b = sorted({*(set(a) ^ set(prose.rng.sample(range(1, last + 1), min(last, 3)))), last})
         both = sorted(set(a) & set(b))
         ends = []
         for i0, i1, j0, j1 in runs(a, b):
