@@ -1,15 +1,19 @@
 """Dense keys and ranks over tables of any size.
 
 A window without partition columns, or one over a hot group, puts all its rows into one task.
-Here the rows are range-partitioned instead, numbered inside each partition, and shifted by the
-size of the partitions before. Only one number per partition reaches the driver.
+
+For dense keys the rows are range-partitioned instead, numbered inside each partition, and shifted by the
+size of the partitions before; only one number per partition reaches the driver. Ranks are of whole numbers:
+equal values are one row each, and are counted at three levels by the upper bits of the value, so that no window
+holds more than 2^22 rows, whatever the table. That is one lazy plan, told as SQL, which views can hold too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.scratch import pin
@@ -44,44 +48,53 @@ def add_dense_key(df: DataFrame, key: str, order: list[str], start: int = 0) ->
     )
 
 
-def add_ranks(df: DataFrame, value: str, ranks: dict[str, str | None]) -> DataFrame:
-    """Competition ranks (1, 2, 2, 4) by ``value`` descending, nulls last, ties share a rank.
+_LEAST = "-9223372036854775808L"
+_STEP = 22  # bits of a value that a window orders
+
+
+def ranked_sql(rows: str, value: str, ranks: Mapping[str, str | None]) -> str:
+    """SQL for all columns of ``rows``, a table or CTE, and the ranks of ``add_ranks``. No job runs for it."""
+    joined, columns = "", ["r.*"]
+    for at, (rank, group) in enumerate(ranks.items()):
+        side = f"k{at}"
+        same = f"r.{group} <=> {side}.g AND " if group else ""
+        joined += f" JOIN ({_positions_sql(rows, value, group)}) {side}"
+        joined += f" ON {same}coalesce(r.{value}, {_LEAST}) = {side}.v"
+        columns.append(f"{side}.position AS {rank}")
+    return f"SELECT {', '.join(columns)} FROM {rows} r{joined}"
+
+
+def _positions_sql(rows: str, value: str, group: str | None) -> str:
+    """(g, v, position) of every distinct value of a group; null is the least value."""
+    key, by, same = (f"{group} AS g, ", "g, ", "{0}.g <=> {1}.g AND ") if group else ("", "", "")
+    # Not foldable, else the optimizer would take the last window for one over everything.
+    top = "g" if group else "pmod(v, 1)"
+
+    def before(source: str, within: str) -> str:
+        rest = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        return (
+            f"SELECT *, coalesce(sum(n) OVER (PARTITION BY {within} ORDER BY v DESC {rest}), 0L) AS earlier"
+            f" FROM ({source})"
+        )
+
+    one = f"SELECT {key}coalesce({value}, {_LEAST}) AS v, count(*) AS n FROM {rows} GROUP BY ALL"
+    two, three = (
+        f"SELECT {by}shiftright(v, {bits}) AS v, sum(n) AS n FROM ({one}) GROUP BY ALL" for bits in (_STEP, 2 * _STEP)
+    )
+    up = f"shiftright(v, {_STEP})"
+    return (
+        f"SELECT {'a.g, ' if group else ''}a.v, CAST(1 + a.earlier + b.earlier + c.earlier AS INT) AS position"
+        f" FROM ({before(one, by + up)}) a JOIN ({before(two, by + up)}) b"
+        f" ON {same.format('a', 'b')}shiftright(a.v, {_STEP}) = b.v"
+        f" JOIN ({before(three, top)}) c ON {same.format('b', 'c')}shiftright(b.v, {_STEP}) = c.v"
+    )
+
+
+def add_ranks(df: DataFrame, value: str, ranks: Mapping[str, str | None]) -> DataFrame:
+    """Competition ranks (1, 2, 2, 4) by the whole number ``value`` descending, nulls last, ties share a rank.
 
     ``ranks`` maps each rank column to the group column it restarts in, or to None for one rank
     over the whole table. ``df`` should be a stored table, as every rank reads it.
     """
-    ranked = df
-    for rank, within in ranks.items():
-        groups = [within] if within else []
-        ties = df.groupBy(*groups, value).agg(F.count("*").alias("_ties"))
-        ranked = _join_null_safe(ranked, _range_ranks(ties, rank, value, groups), [*groups, value])
-    return ranked
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join where null matches null; AQE splits a key shared by many rows on the left."""
-    renamed = right.withColumnsRenamed({key: f"_{key}" for key in keys})
-    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    return left.join(renamed, same).drop(*[f"_{key}" for key in keys])
-
-
-def _range_ranks(ties: DataFrame, rank: str, value: str, groups: list[str]) -> DataFrame:
-    """Rank of every distinct (group, value), from the number of rows sharing it."""
-    order = F.col(value).desc_nulls_last()
-    placed = ties.repartitionByRange(*[F.col(g) for g in groups], order)
-    placed = pin(placed.withColumn("_part", F.spark_partition_id().cast("bigint")), "ranges")
-    inside = Window.partitionBy("_part", *groups).orderBy(order)
-    running = F.coalesce(
-        F.sum("_ties").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    numbered = placed.withColumn("_inside", running)
-    if groups:
-        # At most one row per partition and group: no window holds more rows than partitions.
-        sizes = placed.groupBy("_part", *groups).agg(F.sum("_ties").alias("_size"))
-        earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        numbered = _join_null_safe(numbered, before.drop("_size"), ["_part", *groups])
-    else:
-        numbered = numbered.join(_offsets(placed, F.sum("_ties")), "_part")
-    position = F.lit(1) + F.col("_before") + F.col("_inside")
-    return numbered.select(*groups, value, position.cast("int").alias(rank))
+    wide = df.withColumn(value, F.col(value).cast("bigint"))
+    return df.sparkSession.sql(ranked_sql("{ranked_rows}", value, ranks), ranked_rows=wide)

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators import quality, star
-from tallyloom.operators.audit import COMPLETED, FAILED, AuditLog
+from tallyloom.operators.audit import COMPLETED, EVENTS, FAILED, AuditLog, runs_sql
 from tallyloom.operators.integrity import orphan_counts
 from tallyloom.operators.quality import CheckResult
 from tallyloom.operators.transforms import transform
-from tallyloom.plans import reports
-from tallyloom.plans.store import TableStore, write_staging
+from tallyloom.plans import live, reports
+from tallyloom.plans.store import WHOLE, TableStore, staging_path, write_staging
 from tallyloom.schemas import (
     CUSTOMERS, DATA_QUALITY_LOGS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PIPELINE_RUNS,
     PRODUCTS, SALES, SOURCE_TYPES, TABLES,
@@ -37,6 +39,7 @@ DEFAULT_CONFIG: dict = {
     "quality_checks": {"enabled": True, "threshold": 0.95, "fail_on_error": False},
     "star_schema": True,
     "gold": True,
+    "database": "default",
 }
 
 
@@ -67,6 +70,9 @@ class SalesJob:
 
     Layers: ``bronze`` holds the sources as text with their arrival order, ``silver`` the cleaned
     tables, ``tables`` the merged ones, ``gold`` the reports.
+
+    Tables are readable by name in the catalog's ``database``, in every session; so are the reports, as views that
+    show the tables as they are when read. ``gold`` keeps the reports as of the run.
     """
 
     def __init__(self, spark: SparkSession, config: Mapping, root: str):
@@ -74,8 +80,7 @@ class SalesJob:
         self.config = {**DEFAULT_CONFIG, **config}
         self.root = root
         self.audit = AuditLog(spark, root)
-        self.store = TableStore(spark, root)
-        self.staged: dict[str, DataFrame] = {}
+        self.store = TableStore(spark, root, self.config["database"])
         self.undated_sales = 0
 
     def _land(self, layer: str, name: str, table: DataFrame) -> DataFrame:
@@ -87,12 +92,19 @@ class SalesJob:
         return self.spark.read.schema(table.schema).parquet(path)
 
     def register(self) -> None:
-        """Make the stored, staged and audit tables readable by name from SQL."""
+        """Make stored, staged and audit tables and the live reports readable by name in every session."""
         self.store.register()
-        for name, table in self.staged.items():
-            table.createOrReplaceTempView(name)
-        self.audit.runs().createOrReplaceTempView(PIPELINE_RUNS.name)
-        self.audit.logs().createOrReplaceTempView(DATA_QUALITY_LOGS.name)
+        self._register_audit()
+        catalog, database = self.store.catalog, self.config["database"]
+        sales, products, customers = (f"{database}.{s.name}" for s in (SALES, PRODUCTS, CUSTOMERS))
+        for name, sql in live.REPORTS.items():
+            catalog.view(name, sql(sales, products, customers))
+
+    def _register_audit(self) -> None:
+        catalog, logs = self.store.catalog, DATA_QUALITY_LOGS
+        catalog.publish("run_events", T.StructType.fromDDL(EVENTS), self.audit.folders("run_events"), ())
+        catalog.view(PIPELINE_RUNS.name, runs_sql(f"{self.config['database']}.run_events"))
+        catalog.publish(logs.name, logs.schema, self.audit.folders(logs.name), ())
 
     def extract(self) -> dict[str, DataFrame]:
         """Every source as it arrived, stored with its arrival order."""
@@ -160,8 +172,9 @@ class SalesJob:
             batch = cleaned[source].select(*[
                 F.col(c).cast(spec.schema[c].dataType).alias(c) for c in spec.load_columns
             ], SEQ)
-            staged, rows = write_staging(batch, self.root, name)
-            self.staged[f"stg_{name}"] = staged
+            folder = f"{self.root}/staging/{uuid.uuid4().hex}"
+            staged, rows = write_staging(batch, folder, name)
+            self.store.catalog.publish(f"stg_{name}", staged.schema, {WHOLE: staging_path(folder, name)})
             if key:
                 changed = self.store.upsert(spec, staged, SEQ, now)
             else:
@@ -243,16 +256,17 @@ class SalesJob:
             log.error("run %d failed: %s", run_id, failure)
             self.store.discard()
             self.audit.end(run_id, name, FAILED, 0, clock(), str(failure))
+            self._register_audit()
             return RunResult(run_id, FAILED, error=str(failure), quality=results)
         self.audit.end(run_id, name, COMPLETED, records, clock())
-        self.register()
+        self._register_audit()
         result = RunResult(
             run_id, COMPLETED, records, quality=results, undated_sales=self.undated_sales
         )
         if self.config["gold"]:
             try:
                 for report, table in self.reports().items():
-                    self._land("gold", report, table).createOrReplaceTempView(report)
+                    self._land("gold", report, table)
             except Exception as failure:
                 log.exception("run %d is loaded, but its reports failed", run_id)
                 result.gold_error = str(failure)

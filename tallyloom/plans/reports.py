@@ -261,21 +261,3 @@ def data_quality_report(
     for other in others:
         first = first.unionByName(other)
     return first
-
-
-def register_views(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, *, sale_id_unique: bool = False
-) -> None:
-    """Make every report readable by name from SQL, over the tables as they are now.
-
-    Call again after a load: the stored intermediate tables of a report belong to one state.
-    """
-    reports = {
-        "sales_summary": sales_summary(sales, products, customers, sale_id_unique=sale_id_unique),
-        "product_performance": product_performance(sales, products, sale_id_unique=sale_id_unique),
-        "sales_metrics": sales_metrics(sales, products, sale_id_unique=sale_id_unique),
-        "dynamic_report": dynamic_report(sales, products, customers, sale_id_unique=sale_id_unique),
-        "data_quality_report": data_quality_report(sales, products, customers),
-    }
-    for name, report in reports.items():
-        report.createOrReplaceTempView(name)

@@ -5,9 +5,10 @@ import pytest
 from clock import NOW
 
 from tallyloom.operators.audit import AuditLog
+from tallyloom.plans import live
 from tallyloom.plans.job import SalesJob
 from tallyloom.plans.store import TableStore
-from tallyloom.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, SALES
+from tallyloom.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, SALES, TABLES
 from tallyloom.sources.delimited import SEQ, read_text_cells, typed, write_csv
 
 SALES_CSV = """sale_id,product_id,customer_id,quantity,sale_date,amount
@@ -96,6 +97,42 @@ def test_whole_job_twice(spark, tmp_path):
     assert spark.table("stg_sales").columns == ["sale_id", "product_id", "customer_id", "quantity", "amount", "sale_date", SEQ]
 
 
+def test_another_session_reads_tables_and_live_reports(spark, tmp_path):
+    """All by name, as of the last load, also those of a store attached anew."""
+    root, other = str(tmp_path / "lake"), spark.newSession()
+    config = {"sources": write_sources(tmp_path), "database": "shop"}
+    assert SalesJob(spark, config, root).run(NOW)
+    counts = {name: other.table(f"shop.{name}").count() for name in TABLES}
+    assert counts == {
+        "sales": 5, "products": 3, "customers": 3, "stg_sales": 5, "dim_product": 3, "dim_customer": 3, "dim_date": 5,
+        "fact_sales": 5, "pipeline_runs": 1, "data_quality_logs": 18}
+    for name, spec in TABLES.items():
+        if name != "stg_sales":
+            assert [(f.name, f.dataType) for f in other.table(f"shop.{name}").schema] == [
+                (f.name, f.dataType) for f in spec.schema]
+    first = {name: other.table(f"shop.{name}").collect() for name in live.REPORTS}
+    ranks = other.sql("SELECT product_id, overall_rank FROM shop.product_performance").collect()
+    assert sorted(map(tuple, ranks)) == [(101, 1), (102, 3), (103, 1)]
+
+    write_sources(tmp_path, sales="sale_id,product_id,customer_id,quantity,sale_date,amount\n6,102,203,2,2024-03-05,900\n")
+    assert SalesJob(spark, config, root).run(NOW)
+    assert other.table("shop.sales").count() == 6 and other.table("shop.pipeline_runs").count() == 2
+    assert other.table("shop.data_quality_logs").agg({"run_id": "max"}).first()[0] == 2
+    for name, before in first.items():
+        assert other.table(f"shop.{name}").collect() != before, name
+    ranks = other.sql("SELECT product_id, overall_rank FROM shop.product_performance").collect()
+    assert sorted(map(tuple, ranks)) == [(101, 2), (102, 1), (103, 2)]
+
+    # A failed load changes no name; a store of the same folder finds the published state in another database.
+    write_sources(tmp_path, customers=CUSTOMERS_CSV + "204,,x@y.z,east\n")
+    assert not SalesJob(spark, config, root).run(NOW)
+    assert other.table("shop.sales").count() == 6 and other.table("shop.pipeline_runs").count() == 3
+    TableStore(spark, root, "again").register()
+    assert other.table("again.sales").count() == 6 and other.table("again.dim_product").count() == 3
+    for database in ("shop", "again"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_append_job_and_collision(spark, tmp_path):
     root = str(tmp_path / "lake")
     config = append_only(tmp_path)
