@@ -1,10 +1,13 @@
 """Operators 3, 5, 8 and 10 and the registration of the queries."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import textwrap
+import time
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote_to_bytes
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -72,8 +75,80 @@ def test_compressed_runs_unfold_up_to_a_bound(monkeypatch):
     assert [len(x) if isinstance(x, list) else x for x in scan_layers(text)[1:]] == [3, 2, 0]
     monkeypatch.setattr("tallyloom.llm.secrets_scan.MAX_INFLATED", 1300)
     monkeypatch.setattr("tallyloom.llm.secrets_scan.MORE_INFLATED", 0)
+    # The last is read in windows instead, which end inside its words.
+    monkeypatch.setattr("tallyloom.llm.secrets_scan.WINDOW", 100)
+    monkeypatch.setattr("tallyloom.llm.secrets_scan.OVERLAP", 40)
     base, found, layers, oversize = scan_layers(text)
-    assert (len(found), layers, oversize) == (2, 2, 1)
+    assert (len(found), layers, oversize) == (3, 2, 1)
+    assert found[2] == (text.index(packed[2]), 0, len(text))
+
+
+ENCODERS = {
+    "base64": lambda b: base64.b64encode(b), "url": lambda b: "".join(f"%{x:02X}" for x in b).encode(),
+    "quote": lambda b: quote(b, safe="").encode(), "hex": lambda b: "".join(f"\\x{x:02x}" for x in b).encode(),
+}
+PACKERS = {
+    "gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress,
+    "members": lambda b: gzip.compress(b[:9]) + gzip.compress(b[9:]), "cut": lambda b: gzip.compress(b + bytes(range(256)) * 40)[:-40],
+    "wide": lambda b: b.decode().encode("utf-16"), "nul": lambda b: gzip.compress(b"\0" + b + b" \0"),
+}
+
+
+def plain_layers(data):
+    """All that comes of some bytes by trying every decoder on the whole of it, again and again."""
+    decoders = [
+        lambda b: base64.b64decode(b, validate=True), unquote_to_bytes, lambda b: bytes.fromhex(b.decode().replace("\\x", "")),
+        gzip.decompress, zlib.decompress, bz2.decompress, lzma.decompress, lambda b: zlib.decompressobj(47).decompress(b),
+        lambda b: b.decode("utf-16").encode() if b[:2] in (b"\xff\xfe", b"\xfe\xff") else b"",
+    ]
+    seen, waiting = set(), [data]
+    while waiting:
+        layer = waiting.pop()
+        if layer in seen or not layer or len(seen) > 3000:
+            continue
+        seen.add(layer)
+        for decode in decoders:
+            try:
+                waiting.append(decode(layer))
+            except (ValueError, OSError, EOFError, zlib.error, lzma.LZMAError):
+                pass
+    return seen
+
+
+def test_random_nestings_agree_with_a_plain_decoder(prose):
+    rng = prose.rng
+    for n in range(400):
+        secret = (f"password=hunter{n:05}", "AKIA" + "Q" * 16 + f"{n:04}", f"{n:024x} " + "x" * 20)[n % 3].encode()
+        data = b"some words " + secret + b" more of them"
+        for _ in range(rng.randrange(1, 5)):
+            if rng.random() < 0.5:
+                # The plain decoder can't take anything around an encoded text away.
+                name = rng.choice([p for p in PACKERS if b" words " in data or p not in ("cut", "nul")])
+                data = PACKERS[name](data)
+                if name != "wide" and rng.random() < 0.4:
+                    data = gzip.compress(data)
+            data = ENCODERS[rng.choice(["base64", *ENCODERS])](data)
+        if len(data) > 60_000:
+            continue
+        wanted = {k for layer in plain_layers(data) for _, k, _ in plain_scan(layer.decode("utf-8", "replace"))}
+        assert n % 3 in wanted
+        text = f"before it {data.decode()} after it"
+        _, found, _, oversize = scan_layers(text)
+        inside = [(a, k, b) for a, k, b in found if k == n % 3]
+        assert inside and oversize == 0, (n, text[:80])
+        assert all(10 <= a < b <= len(text) - 9 for a, _, b in inside)
+
+
+def test_chains_and_bombs_take_linear_time():
+    began = time.process_time()
+    for text in ("%" + "25" * 100_000, "&#38;" + "#38;" * 50_000, "\\x5c" + "x5c" * 60_000, "%25%32%35" * 20_000):
+        assert scan_layers(text + " end")[2] < 20
+    for n in (3, 15, 16, 40):
+        found = scan_layers("%" + "25" * n + "41KIA" + "B" * 20)[1]
+        assert [f for f in found if f[1] == 1] == [(0, 1, 26 + 2 * n)]
+    quine = base64.b64encode(gzip.compress(gzip.compress(b"\0" * 40_000_000 + SECRET.encode()))).decode()
+    assert scan_layers(f"a {quine} b")[1:] == ([(2, 0, 2 + len(quine))], 1, 1)
+    assert time.process_time() - began < 60
 
 
 def test_find_secrets_edges(shared):
@@ -81,6 +156,11 @@ def test_find_secrets_edges(shared):
     got = {r.doc_id: r for r in find_secrets(shared.createDataFrame(rows, DOCS)).collect()}
     assert (got[1].n_assign, got[2].spans, got[None].n_assign) == (0, "", 1)
     assert got[3].spans == f"assign:50000:{50000 + len(SECRET)}"
+    kinds = "spans string, doc_id bigint, text string, n_assign int, layer string"
+    empty = find_secrets(shared.createDataFrame([], kinds))
+    assert empty.count() == 0 and empty.columns[0] == "doc_id"
+    twice = find_secrets(shared.createDataFrame([("x", 1, SECRET, 9, ""), ("x", 1, SECRET, 9, "")], kinds)).collect()
+    assert len(twice) == 2 and twice[0] == twice[1] and twice[0].n_assign == 1
 
 
 def test_language(shared, prose):
@@ -173,5 +253,5 @@ def test_licences_wrapped(shared, prose):
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "decontamination", "mixture", "shards"]
