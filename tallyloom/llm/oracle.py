@@ -7,6 +7,23 @@ _SPACED = r"[^\x20\x09-\x0D]+"
 _LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: Lengths of repeated windows, doubled from 50 words to more than any text of the tables has.
+_LEVELS = [50 << n for n in range(11)]
+
+
+def _doubled(length: int) -> str:
+    """CTEs for the windows of twice ``length`` words that repeat in another document, from those of ``length``."""
+    return f"""
+both_{length} AS (
+    SELECT x.doc_id, x.pos, md5(x.h || y.h) AS h
+    FROM repeated_{length} x JOIN repeated_{length} y ON x.doc_id = y.doc_id AND y.pos = x.pos + {length}
+),
+repeated_{2 * length} AS (
+    SELECT doc_id, pos, h FROM both_{length}
+    WHERE h IN (SELECT h FROM both_{length} GROUP BY h HAVING min(doc_id) < max(doc_id))
+)"""
+
+
 def _words(pattern: str, lower: bool) -> str:
     text = "coalesce(text, '')"
     if lower:
@@ -60,6 +77,12 @@ windows AS (
 full_windows AS (SELECT doc_id, pos, h FROM windows WHERE n = 50),
 firsts AS (SELECT h, min(doc_id) AS first, max(doc_id) AS last FROM full_windows GROUP BY h),
 repeated AS (SELECT doc_id, pos, first FROM full_windows JOIN firsts USING (h) WHERE first < last),
+repeated_50 AS (SELECT doc_id, pos, h FROM full_windows JOIN firsts USING (h) WHERE first < last),
+{','.join(map(_doubled, _LEVELS[:-1]))},
+levels AS (
+    SELECT doc_id, max(length) AS longest FROM ({' UNION ALL '.join(f"SELECT doc_id, {n} AS length FROM repeated_{n}" for n in _LEVELS)})
+    GROUP BY doc_id
+),
 gone AS (SELECT DISTINCT doc_id, pos + unnest(range(50)) AS pos FROM repeated WHERE first < doc_id),
 kept AS (
     SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS rest
@@ -67,8 +90,8 @@ kept AS (
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
     sha256(coalesce(k.rest, '')) AS kept_sha256,
-    CASE WHEN d.doc_id IN (SELECT doc_id FROM repeated) THEN 50 ELSE 0 END AS longest_repeat
-FROM docs d LEFT JOIN kept k USING (doc_id)
+    coalesce(longest, 0)::INTEGER AS longest_repeat
+FROM docs d LEFT JOIN kept k USING (doc_id) LEFT JOIN levels USING (doc_id)
 """,
     "op7_benchmark_decontamination": f"""
 WITH docs AS (SELECT doc_id, {_words(_LETTERS, True)} AS w FROM documents),

@@ -30,7 +30,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_table(spark, sf_dir, "documents"), window=50, longest=50).drop("removed")
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=50).drop("removed")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
