@@ -435,6 +435,24 @@ SELECT 'sales', 'customer_id', 'customers', count(DISTINCT customer_id), count(*
 FROM sales WHERE customer_id NOT IN (SELECT customer_id FROM customers WHERE region <> 'ASIA')
 """
 
+FK_ORPHANS_FACT = f"""
+WITH {_TABLES}, loaded AS ({views.LOADED_SALES_SQL})
+SELECT 'fact_sales' AS table_name, 'product_key' AS column_name, 'dim_product' AS parent_table,
+       count(DISTINCT product_id) AS orphan_values, count(*) AS orphan_rows
+FROM loaded JOIN products USING (product_id) WHERE category = 'PROMO'
+UNION ALL
+SELECT 'fact_sales', 'customer_key', 'dim_customer', count(DISTINCT customer_id), count(*)
+FROM loaded JOIN customers USING (customer_id) WHERE region = 'ASIA'
+UNION ALL
+SELECT 'fact_sales', 'date_key', 'dim_date', count(DISTINCT sale_date), count(*) FROM loaded WHERE year(sale_date) < 2000
+"""
+
+FK_ORPHANS_LOGS = """
+SELECT 'data_quality_logs' AS table_name, 'run_id' AS column_name, 'pipeline_runs' AS parent_table,
+       count(DISTINCT l_orderkey) AS orphan_values, count(*) AS orphan_rows
+FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+"""
+
 # Load and audit
 
 UPSERT_MERGE = f"""
@@ -453,6 +471,69 @@ SELECT sale_id, product_id, customer_id, quantity, CAST(amount + 1 AS DOUBLE), s
 FROM late
 """
 
+# Sales after both loads of UPSERT_MERGE.
+_MERGED_SALES = f"""
+    SELECT sale_id, product_id, customer_id, quantity,
+           CAST(CASE WHEN sale_date >= DATE '1998-01-01' THEN amount + 1 ELSE amount END AS DECIMAL(10,2)) AS amount, sale_date
+    FROM ({views.STAGED_SALES_SQL})
+    QUALIFY row_number() OVER (PARTITION BY sale_id ORDER BY sale_date >= DATE '1998-01-01' DESC, seq DESC) = 1
+"""
+
+
+def _over_merged(report: str) -> str:
+    return report.replace(views.SALES_SQL, _MERGED_SALES)
+
+
+_ORDERS_AS_SALES = """
+    SELECT o_orderkey AS sale_id, min(l_partkey) AS product_id, o_custkey AS customer_id,
+           CAST(sum(l_quantity) AS BIGINT) AS quantity, min(l_extendedprice) AS amount, CAST(o_orderdate AS DATE) AS sale_date
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate
+"""
+
+JOB_LOAD = f"""
+SELECT sale_id, product_id, customer_id, quantity, round(amount, 2) AS amount, sale_date, DATE '1999-01-01' AS created_at
+FROM ({_ORDERS_AS_SALES})
+"""
+
+JOB_RUNS = f"""
+WITH loaded AS (
+    SELECT (SELECT count(*) FROM ({_ORDERS_AS_SALES})) + (SELECT count(*) FROM ({views.RAW_CUSTOMERS_SQL})) AS n
+)
+SELECT CAST(i + 1 AS BIGINT) AS run_id, 'orders' AS pipeline_name, CASE WHEN i = 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+       CASE WHEN i = 0 THEN n ELSE 0 END AS records_processed, CAST(i AS INTEGER) AS started_at, i > 0 AS has_error
+FROM loaded, range(4) AS r(i)
+"""
+
+JOB_LOGS = f"""
+WITH sales AS ({_ORDERS_AS_SALES}),
+counts AS (
+    SELECT count(*) FILTER (sale_date > {_AS_OF}) AS future, count(*) FILTER (quantity > 1000) AS many,
+           (SELECT count(*) FROM ({views.RAW_CUSTOMERS_SQL})) AS customers
+    FROM sales),
+checks AS (
+    SELECT unnest([
+        struct_pack(t := 'sales', c := 'required_columns', passed := true, details := '{{"missing_columns": []}}'),
+        struct_pack(t := 'sales', c := 'not_null_columns', passed := true, details := '{{"null_counts": {{}}}}'),
+        struct_pack(t := 'sales', c := 'numeric_ranges', passed := many = 0, details := CASE WHEN many = 0
+            THEN '{{"out_of_range": {{}}}}' ELSE '{{"out_of_range": {{"quantity": {{"below_min": 0, "above_max": ' || many || '}}}}}}' END),
+        struct_pack(t := 'sales', c := 'unique_columns', passed := true, details := '{{"duplicate_counts": {{}}}}'),
+        struct_pack(t := 'sales', c := 'data_types', passed := true, details := '{{"issues": []}}'),
+        struct_pack(t := 'sales', c := 'custom_checks', passed := future = 0, details :=
+            CASE WHEN future = 0 THEN '{{"issues": []}}' ELSE '{{"issues": ["' || future || ' records have future sale dates"]}}' END),
+        struct_pack(t := 'customers', c := 'required_columns', passed := true, details := '{{"missing_columns": []}}'),
+        struct_pack(t := 'customers', c := 'not_null_columns', passed := true, details := '{{"null_counts": {{}}}}'),
+        struct_pack(t := 'customers', c := 'numeric_ranges', passed := true, details := '{{"out_of_range": {{}}}}'),
+        struct_pack(t := 'customers', c := 'unique_columns', passed := false,
+            details := '{{"duplicate_counts": {{"email": ' || (customers - 1) || '}}}}'),
+        struct_pack(t := 'customers', c := 'data_types', passed := true, details := '{{"issues": []}}'),
+        struct_pack(t := 'customers', c := 'custom_checks', passed := false,
+            details := '{{"issues": ["' || customers || ' customers have invalid email formats"]}}')
+    ]) AS k, unnest(range(12)) AS i
+    FROM counts)
+SELECT r * 12 + i + 1 AS log_id, r + 1 AS run_id, k.t AS table_name, k.c AS check_type, k.passed AS check_result, k.details AS details
+FROM checks, range(2) AS runs(r)
+"""
+
 UPSERT_UNIQUE_EMAIL = f"""
 WITH {_TABLES},
 target AS (
@@ -543,6 +624,14 @@ ORACLE = {
     "dq_gate": DQ_GATE,
     "constraint_check": CONSTRAINT_CHECK,
     "fk_orphans": FK_ORPHANS,
+    "fk_orphans_fact": FK_ORPHANS_FACT,
+    "fk_orphans_logs": FK_ORPHANS_LOGS,
+    "live_sales_summary": _over_merged(SALES_SUMMARY),
+    "live_product_performance": _over_merged(PRODUCT_PERFORMANCE),
+    "live_sales_metrics": _over_merged(SALES_METRICS),
+    "job_load": JOB_LOAD,
+    "job_runs": JOB_RUNS,
+    "job_logs": JOB_LOGS,
     "upsert_merge": UPSERT_MERGE,
     "upsert_unique_email": UPSERT_UNIQUE_EMAIL,
     "append_load": APPEND_LOAD,

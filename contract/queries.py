@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from contract import views
 from tallyloom.operators import audit, integrity, quality, star
 from tallyloom.operators.merge import survivors
 from tallyloom.operators.transforms import transform
-from tallyloom.plans import reports
+from tallyloom.plans import live, reports
+from tallyloom.plans.job import SalesJob
 from tallyloom.plans.store import TableStore, write_staging
-from tallyloom.schemas import CUSTOMERS, PRODUCTS, SALES
+from tallyloom.schemas import CUSTOMERS, DATA_QUALITY_LOGS, FACT_SALES, PRODUCTS, SALES
 from tallyloom.scratch import pin, scratch_path
 from tallyloom.sources.delimited import SEQ, read_text_cells, typed, write_csv
 from tallyloom.sources.extract import extract
@@ -294,6 +296,28 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def fk_orphans_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts whose product, customer or date has left its dimension (promoted parts, one region, the nineties)."""
+    sales, products, customers = (v(spark, sf_dir) for v in (_loaded, views.products, views.customers))
+    parts = star.product_dimension(products, AS_OF)
+    buyers = star.customer_dimension(customers, AS_OF)
+    return integrity.orphan_counts(FACT_SALES, {
+        "fact_sales": star.keyed_fact(sales, parts, buyers, NOW),
+        "dim_product": parts.filter(F.col("category") != "PROMO"),
+        "dim_customer": buyers.filter(F.col("region") != "ASIA"),
+        "dim_date": star.date_dimension(sales).filter(F.col("year") >= 2000),
+    })
+
+
+def fk_orphans_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a log row of its order's run; runs of finished orders are gone."""
+    logs = views.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run_id"))
+    runs = views.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "F")
+    return integrity.orphan_counts(DATA_QUALITY_LOGS, {
+        "data_quality_logs": logs, "pipeline_runs": runs.select(F.col("o_orderkey").alias("run_id")),
+    })
+
+
 # Load and audit
 
 
@@ -336,6 +360,98 @@ def upsert_unique_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TableStore(spark, store.root).read(CUSTOMERS)
 
 
+# Names in the catalog
+
+
+def _named(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    """A live report, made after a first load, read after another one."""
+    staged, database = views.staged_sales(spark, sf_dir), f"live_{uuid.uuid4().hex}"
+    store = TableStore(spark, scratch_path(spark, "live"), database)
+    products = pin(views.products(spark, sf_dir).withColumn("seq", F.col("product_id")), "products")
+    customers = views.customers(spark, sf_dir).withColumn("email", F.lit(None).cast("string"))
+    customers = pin(customers.withColumn("seq", F.col("customer_id")), "customers")
+    history = pin(staged.filter(F.col("sale_date") < dt.date(2000, 1, 1)), "history")
+    for spec, rows in ((PRODUCTS, products), (CUSTOMERS, customers), (SALES, history)):
+        store.stage({spec.name: store.upsert(spec, rows, "seq", FIRST_LOAD)})
+    store.publish(FIRST_LOAD)
+    store.catalog.view(report, live.REPORTS[report](*(f"{database}.{s.name}" for s in (SALES, PRODUCTS, CUSTOMERS))))
+    late = staged.filter(F.col("sale_date") >= dt.date(1998, 1, 1))
+    late = pin(late.withColumn("amount", (F.col("amount") + 1).cast("decimal(10,2)")), "late")
+    store.stage({SALES.name: store.upsert(SALES, late, "seq", LATER_LOAD)})
+    store.publish(LATER_LOAD)
+    return spark.table(f"{database}.{report}")
+
+
+def live_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(spark, sf_dir, "sales_summary")
+
+
+def live_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(spark, sf_dir, "product_performance")
+
+
+def live_sales_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(spark, sf_dir, "sales_metrics")
+
+
+# The load job
+
+
+_ORDERS_AS_SALES = """
+    SELECT o_orderkey AS sale_id, min(l_partkey) AS product_id, o_custkey AS customer_id,
+        CAST(sum(l_quantity) AS BIGINT) AS quantity, CAST(min(l_extendedprice) AS DOUBLE) AS amount,
+        date_format(o_orderdate, 'yyyy-MM-dd') AS sale_date
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate"""
+
+
+def _job(spark: SparkSession, sf_dir: str) -> tuple[SalesJob, str]:
+    """A job that takes sales, one per order, and customers by SQL queries, and its database."""
+    for name in ("lineitem", "orders"):
+        views.table(spark, sf_dir, name).createOrReplaceTempView(name)
+    views.raw_customers(spark, sf_dir).withColumn(
+        "customer_name", F.concat(F.lit("c"), F.col("customer_id").cast("string"))
+    ).withColumn("email", F.lit(None).cast("string")).createOrReplaceTempView("arriving_customers")
+    database = f"job_{uuid.uuid4().hex}"
+    return SalesJob(spark, {
+        "pipeline_name": "orders", "database": database, "star_schema": False, "gold": False,
+        "sources": [
+            {"name": "sales", "type": "database", "query": _ORDERS_AS_SALES},
+            {"name": "customers", "type": "database", "query": "SELECT * FROM arriving_customers"},
+        ],
+    }, scratch_path(spark, "job")), database
+
+
+def job_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales that a whole job has loaded, by name."""
+    job, database = _job(spark, sf_dir)
+    result = job.run(NOW)
+    if not result:
+        raise RuntimeError(result.error)
+    return _amounts(spark.table(f"{database}.sales")).withColumn("created_at", F.to_date("created_at"))
+
+
+def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs by name: a load, one stopped by its checks, one of an unknown source type, an append of known keys."""
+    job, database = _job(spark, sf_dir)
+    changes = [
+        {}, {"quality_checks": {"threshold": 1.0, "fail_on_error": True}},
+        {"sources": [{"name": "sales", "type": "parquetx"}]}, {"destinations": [{"source": "sales", "table": "sales"}]},
+    ]
+    for hour, change in enumerate(changes):
+        SalesJob(spark, {**job.config, **change}, job.root).run(NOW + dt.timedelta(hours=hour))
+    runs = spark.table(f"{database}.pipeline_runs")
+    return runs.select("run_id", "pipeline_name", "status", "records_processed",
+                       F.hour("start_time").alias("started_at"), F.col("error_message").isNotNull().alias("has_error"))
+
+
+def job_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log rows of two runs of one job by name, with their ids."""
+    job, database = _job(spark, sf_dir)
+    for hour in range(2):
+        SalesJob(spark, job.config, job.root).run(NOW + dt.timedelta(hours=hour))
+    return spark.table(f"{database}.data_quality_logs").drop("created_at")
+
+
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded sales in two batches without a merge key: before 1998 and after."""
     sales, store, cut = _loaded(spark, sf_dir), _store(spark, "append"), dt.date(1998, 1, 1)
@@ -409,7 +525,8 @@ QUERIES = {
         fact_denormalized, dim_date, holiday_flag, dimension_set, dim_product, dim_customer, scd2_merge, fact_keyed,
         fact_point_in_time,
         dq_not_null, dq_ranges, dq_unique, dq_custom, dq_log, dq_report_summary, dq_gate,
-        constraint_check, fk_orphans,
+        constraint_check, fk_orphans, fk_orphans_fact, fk_orphans_logs,
+        live_sales_summary, live_product_performance, live_sales_metrics, job_load, job_runs, job_logs,
         upsert_merge, upsert_unique_email, append_load, staging_replace, run_history,
         csv_roundtrip, query_source,
     )

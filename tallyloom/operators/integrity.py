@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.schemas import TableSpec
+from tallyloom.schemas import Reference, TableSpec
 
 
 class ConstraintViolation(ValueError):
@@ -57,26 +58,34 @@ def require(violations: DataFrame) -> None:
         raise ConstraintViolation(f"constraint failed: {text}")
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """(value, child_rows) of references that no parent row answers; null refers to nothing.
+def orphans(child: DataFrame, references: Sequence[Reference], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """(column_name, value, child_rows) of references that no parent row answers; null refers to nothing.
 
-    The child rows are summed per value first, so a hot value is one row in the join.
+    One pass over the child for all its references, and one anti join: values of all columns are stacked, as text,
+    and summed up before the shuffle, so a hot value is one row in the join.
     """
-    referred = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-    referred = referred.agg(F.count("*").alias("child_rows"))
-    return referred.join(parent.select(F.col(key).alias("value")), "value", "left_anti")
+    def stacked(column: str, value: str) -> Column:
+        return F.struct(F.lit(column).alias("column_name"), F.col(value).cast("string").alias("value"))
 
+    referred = child.select(F.explode(F.array(*[stacked(r.column, r.column) for r in references])).alias("r")).select("r.*")
+    referred = referred.filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count("*").alias("child_rows"))
+    answers = [
+        parents[r.table].select(stacked(r.column, r.key).alias("r")).select("r.*") for r in references
+    ]
+    return referred.join(reduce(DataFrame.union, answers), ["column_name", "value"], "left_anti")
 
-def orphan_counts(spec: TableSpec, tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, column_name, parent_table, orphan_values, orphan_rows) per reference."""
-    def count(reference) -> DataFrame:
-        lost = orphans(tables[spec.name], reference.column, tables[reference.table], reference.key)
-        return lost.agg(
-            F.count("*").alias("orphan_values"),
-            F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphan_rows"),
-        ).select(
-            F.lit(spec.name).alias("table_name"), F.lit(reference.column).alias("column_name"),
-            F.lit(reference.table).alias("parent_table"), "orphan_values", "orphan_rows",
-        )
 
-    return reduce(DataFrame.unionByName, [count(r) for r in spec.references])
+def orphan_counts(spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, parent_table, orphan_values, orphan_rows) per reference."""
+    lost = orphans(tables[spec.name], spec.references, tables).groupBy("column_name").agg(
+        F.count("*").alias("orphan_values"), F.sum("child_rows").alias("orphan_rows")
+    )
+    told = lost.sparkSession.createDataFrame(
+        [(spec.name, r.column, r.table) for r in spec.references],
+        "table_name string, column_name string, parent_table string",
+    )
+    zero = F.lit(0).cast("bigint")
+    return told.join(lost, "column_name", "left").select(
+        "table_name", "column_name", "parent_table", F.coalesce("orphan_values", zero).alias("orphan_values"),
+        F.coalesce("orphan_rows", zero).alias("orphan_rows"),
+    )

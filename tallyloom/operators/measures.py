@@ -64,6 +64,24 @@ def fold(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*keys).agg(*combined(*[c for c in facts.columns if c in _COMBINE]))
 
 
+def totals(facts: DataFrame, group: list[str], sale_id_unique: bool, transactions: str, customers: str, *measures: Column) -> DataFrame:
+    """Distinct sales and customers and other measures of every group.
+
+    Where sales have to be counted distinct too, they are folded to one row each per group first, the sums with
+    them, and then counted; customers are counted on a way of their own. So no row is multiplied, as it would be
+    by two distinct counts of one aggregate, and a hot group is spread by its sales. Groups may be null.
+    """
+    if sale_id_unique:
+        return facts.groupBy(*group).agg(
+            F.sum("transactions").alias(transactions), F.count_distinct("customer_id").alias(customers), *measures
+        )
+    sales = fold(facts.drop("customer_id")).groupBy(*group).agg(F.count("sale_id").alias(transactions), *measures)
+    buyers = facts.select(*[F.col(g).alias(f"_{g}") for g in group], "customer_id").distinct()
+    buyers = buyers.groupBy(*[f"_{g}" for g in group]).agg(F.count("customer_id").alias(customers))
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    return sales.join(buyers, same).drop(*[f"_{g}" for g in group])
+
+
 def transaction_count(sale_id_unique: bool) -> Column:
     return F.sum("transactions") if sale_id_unique else F.count_distinct("sale_id")
 

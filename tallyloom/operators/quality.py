@@ -1,15 +1,16 @@
 """Data-quality rules, compiled into one aggregate per table.
 
-Nulls, ranges and custom rules are counted in a single pass without a shuffle; each unique column
-adds one aggregate by its values. Only the counts reach the driver, where the verdicts are made.
+Nulls, ranges and custom rules are counted in a single pass without a shuffle, which may be the one that
+writes the table; the unique columns add one aggregate by their values. Only the counts reach the driver, where the
+verdicts are made.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,36 +81,63 @@ def _custom(df: DataFrame, table: str, as_of: dt.datetime) -> list[tuple[str, st
     return [(c[-1], text, rule) for c, text, rule in rules.get(table, []) if present.issuperset(c)]
 
 
-def counters(df: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
-    """Every count the checks of ``table`` need: (check_type, column_name, metric, n)."""
-    rules = RULES[table]
-    present = set(df.columns)
-    counted: list[tuple[str, str, str, Column]] = [
-        ("not_null_columns", c, "nulls", F.col(c).isNull()) for c in rules["not_null"] if c in present
-    ]
+def counted(df: DataFrame, table: str, as_of: dt.datetime) -> dict[tuple[str, str, str], Column]:
+    """Aggregates that one pass over ``table`` can make: nulls, ranges and custom rules, by check, column, metric.
+
+    They may be observed while the table is written, see ``observation``.
+    """
+    rules, present = RULES.get(table, {"not_null": [], "ranges": {}}), set(df.columns)
+    found = {("not_null_columns", c, "nulls"): F.col(c).isNull() for c in rules["not_null"] if c in present}
     for name, (low, high) in rules["ranges"].items():
         if name in present:
-            counted.append(("numeric_ranges", name, "below_min", _number(df, name) < low))
-            counted.append(("numeric_ranges", name, "above_max", _number(df, name) > high))
-    for name, text, rule in _custom(df, table, as_of):
-        counted.append(("custom_checks", name, text, rule))
+            found["numeric_ranges", name, "below_min"] = _number(df, name) < low
+            found["numeric_ranges", name, "above_max"] = _number(df, name) > high
+    found |= {("custom_checks", name, text): rule for name, text, rule in _custom(df, table, as_of)}
+    return {key: F.count_if(rule) for key, rule in found.items()}
+
+
+def observation(counts: Mapping[tuple[str, str, str], Column]) -> list[Column]:
+    """The same aggregates under names an ``Observation`` can have; ``observed`` reads them back."""
+    return [count.alias(f"check_{at}") for at, count in enumerate(counts.values())]
+
+
+def observed(counts: Mapping[tuple[str, str, str], Column], seen: Mapping[str, int]) -> dict[tuple[str, str, str], int]:
+    return {key: seen[f"check_{at}"] for at, key in enumerate(counts)}
+
+
+def duplicates(df: DataFrame, table: str) -> DataFrame:
+    """(check_type, column_name, metric, n): rows beyond the first of each value of the unique columns, null a value.
 
+    All columns in one pass, summed up before the shuffle.
+    """
+    unique = [c for c in RULES.get(table, {"unique": []})["unique"] if c in df.columns]
+    if not unique:
+        return df.sparkSession.createDataFrame([], COUNTERS)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in unique]
+    values = df.select(F.explode(F.array(*cells)).alias("v")).select("v.*").groupBy("column_name", "value").count()
+
+    def extra(name: str) -> Column:
+        return F.sum(F.when(F.col("column_name") == name, F.col("count") - 1))
+
+    found = [
+        F.struct(F.lit("unique_columns").alias("check_type"), F.lit(c).alias("column_name"),
+                 F.lit("duplicates").alias("metric"), F.coalesce(extra(c), F.lit(0).cast("bigint")).alias("n"))
+        for c in unique
+    ]
+    return values.agg(F.array(*found).alias("cells")).select(F.inline("cells"))
+
+
+def counters(df: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
+    """Every count the checks of ``table`` need: (check_type, column_name, metric, n)."""
+    counts = counted(df, table, as_of)
+    names = ("check_type", "column_name", "metric")
     cells = [
-        F.struct(F.lit(a).alias("check_type"), F.lit(b).alias("column_name"),
-                 F.lit(c).alias("metric"), F.count_if(rule).alias("n"))
-        for a, b, c, rule in counted
+        F.struct(*[F.lit(part).alias(name) for name, part in zip(names, key)], count.alias("n"))
+        for key, count in counts.items()
     ]
-    parts = [df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))] if cells else []
-    for name in rules["unique"]:
-        if name in present:
-            extra = df.groupBy(name).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
-            parts.append(extra.select(
-                F.lit("unique_columns").alias("check_type"), F.lit(name).alias("column_name"),
-                F.lit("duplicates").alias("metric"), "n",
-            ))
-    if not parts:
-        return df.sparkSession.createDataFrame([], COUNTERS)
-    return reduce(DataFrame.unionByName, parts)
+    if not cells:
+        return duplicates(df, table)
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")).unionByName(duplicates(df, table))
 
 
 def type_issues(df: DataFrame, table: str) -> list[str]:
@@ -127,12 +155,19 @@ def type_issues(df: DataFrame, table: str) -> list[str]:
     return issues
 
 
-def validate(df: DataFrame, table: str, as_of: dt.datetime) -> dict[str, CheckResult]:
-    """The six checks of a known table, in order; nothing for an unknown one."""
+def validate(
+    df: DataFrame, table: str, as_of: dt.datetime, seen: Mapping[tuple[str, str, str], int] | None = None
+) -> dict[str, CheckResult]:
+    """The six checks of a known table, in order; nothing for an unknown one.
+
+    With the counts that were ``seen`` as the table was written only its unique columns are read again.
+    """
     if table not in RULES:
         return {}
+    counts = [(*key, n) for key, n in seen.items()] if seen is not None else []
+    counts += (counters(df, table, as_of) if seen is None else duplicates(df, table)).collect()
     found: dict[str, dict] = {"not_null_columns": {}, "numeric_ranges": {}, "unique_columns": {}, "custom_checks": {}}
-    for check, column, metric, n in counters(df, table, as_of).collect():
+    for check, column, metric, n in counts:
         found[check].setdefault(column, {})[metric] = n
     ranges = {c: m for c, m in found["numeric_ranges"].items() if any(m.values())}
     missing = [c for c in RULES[table]["required"] if c not in df.columns]

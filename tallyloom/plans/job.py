@@ -7,8 +7,9 @@ import logging
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +22,7 @@ from tallyloom.plans import live, reports
 from tallyloom.plans.store import WHOLE, TableStore, staging_path, write_staging
 from tallyloom.schemas import (
     CUSTOMERS, DATA_QUALITY_LOGS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PIPELINE_RUNS,
-    PRODUCTS, SALES, SOURCE_TYPES, TABLES,
+    PRODUCTS, SALES, SOURCE_TYPES, TABLES, TableSpec,
 )
 from tallyloom.sources.delimited import SEQ, inferred_types, typed
 from tallyloom.sources.extract import check_sources, read_source
@@ -81,15 +82,17 @@ class SalesJob:
         self.root = root
         self.audit = AuditLog(spark, root)
         self.store = TableStore(spark, root, self.config["database"])
+        self.seen: dict[str, dict[tuple[str, str, str], int]] = {}
         self.undated_sales = 0
 
-    def _land(self, layer: str, name: str, table: DataFrame) -> DataFrame:
-        """Write one table of a layer, logging its row count from the same pass."""
+    def _land(self, layer: str, name: str, table: DataFrame, *counts: Column) -> tuple[DataFrame, dict[str, int]]:
+        """Write one table of a layer; returns it with ``counts`` and its rows, counted by the same pass."""
         path = f"{self.root}/{layer}/{name}"
         seen = Observation()
-        table.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        rows = F.count(F.lit(1)).alias("rows")
+        table.observe(seen, rows, *counts).write.mode("overwrite").parquet(path)
         log.info("%s %s: %d rows", layer, name, seen.get["rows"])
-        return self.spark.read.schema(table.schema).parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path), seen.get
 
     def register(self) -> None:
         """Make stored, staged and audit tables and the live reports readable by name in every session."""
@@ -114,7 +117,7 @@ class SalesJob:
         for source in self.config["sources"]:
             try:
                 raw = read_source(self.spark, source)
-                landed[source["name"]] = self._land("bronze", source["name"], raw)
+                landed[source["name"]], _ = self._land("bronze", source["name"], raw)
             except Exception:
                 log.exception("extraction failed for %s", source["name"])
                 raise
@@ -123,7 +126,10 @@ class SalesJob:
     def transform(
         self, extracted: dict[str, DataFrame], now: dt.datetime
     ) -> dict[str, DataFrame]:
-        """Every source typed, cleaned and stored. Files of no known source get the types their cells have."""
+        """Every source typed, cleaned and stored. Files of no known source get the types their cells have.
+
+        What the quality checks count without a shuffle is counted as the table is written.
+        """
         cleaned = {}
         files = {s["name"] for s in self.config["sources"] if s["type"] == "csv"}
         for name, cells in extracted.items():
@@ -131,7 +137,9 @@ class SalesJob:
             if types is None:
                 types = inferred_types(cells) if name in files else {}
             table = transform(name, typed(cells, types), now)
-            cleaned[name] = self._land("silver", name, table)
+            counts = quality.counted(table, name, now)
+            cleaned[name], seen = self._land("silver", name, table, *quality.observation(counts))
+            self.seen[name] = quality.observed(counts, seen)
         return cleaned
 
     def check(
@@ -144,7 +152,7 @@ class SalesJob:
             return results
         rows = None
         for name, table in cleaned.items():
-            results[name] = quality.validate(table, name, now)
+            results[name] = quality.validate(table, name, now, self.seen.get(name))
             logged = quality.log_rows(self.spark, name, results[name])
             rows = logged if rows is None else rows.unionByName(logged)
             log.info("%s\n%s", name, quality.report_text(results[name]))
@@ -196,7 +204,7 @@ class SalesJob:
             (DIM_CUSTOMER, CUSTOMERS, "customer_id", star.CUSTOMER_TRACKED),
         ):
             merged = star.scd2_merge(
-                self.store.read(spec), self.store.read(table), spec.primary_key, key, tracked, now.date()
+                self.store.read(spec, digest=True), self.store.read(table), spec.primary_key, key, tracked, now.date()
             )
             self.store.stage({spec.name: self.store.write_whole(spec, merged)})
         months = self.store.staged_months(SALES)
@@ -234,11 +242,15 @@ class SalesJob:
             "dynamic_report": reports.dynamic_report(sales, products, customers, sale_id_unique=True),
             "data_quality_report": reports.data_quality_report(sales, products, customers),
             "monthly_category_top10": reports.monthly_category_top10(sales, products),
-            "orphans": orphan_counts(
-                SALES, {"sales": sales, "products": products, "customers": customers}
-            ),
+            "orphans": reduce(DataFrame.unionByName, [self.orphans(s) for s in (SALES, FACT_SALES, DATA_QUALITY_LOGS)]),
         }
 
+    def orphans(self, spec: TableSpec) -> DataFrame:
+        """Rows of a table whose references no row answers, by reference."""
+        audit = {PIPELINE_RUNS.name: self.audit.runs, DATA_QUALITY_LOGS.name: self.audit.logs}
+        names = {spec.name, *(r.table for r in spec.references)}
+        return orphan_counts(spec, {n: audit[n]() if n in audit else self.store.read(TABLES[n]) for n in names})
+
     def run(self, now: dt.datetime | None = None) -> RunResult:
         """The whole job. A failure is recorded and returned, not raised."""
         clock = (lambda: now) if now else (lambda: dt.datetime.now().replace(microsecond=0))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.calendar import month_label
 from tallyloom.functions.numeric import percent_of
 from tallyloom.operators.lookup import attach
-from tallyloom.operators.measures import fold, mean_amount, money, sale_measures, transaction_count
+from tallyloom.operators.measures import fold, mean_amount, money, sale_measures, totals, transaction_count
 from tallyloom.operators.ordering import add_ranks
 from tallyloom.scratch import pin
 
@@ -38,9 +38,8 @@ def sales_summary(
     facts = sale_measures(sales, "product_id", "customer_id", sale_id_unique=sale_id_unique)
     facts = attach(facts, products, "product_id", ["category"], shrink).drop("product_id")
     facts = attach(facts, customers, "customer_id", ["region"], shrink)
-    totals = facts.groupBy("month", "category", "region").agg(
-        transaction_count(sale_id_unique).alias("total_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+    summed = totals(
+        facts, ["month", "category", "region"], sale_id_unique, "total_transactions", "unique_customers",
         F.sum("units").alias("total_units_sold"),
         F.sum("revenue").alias("total_revenue"),
         mean_amount().alias("avg_transaction_value"),
@@ -49,7 +48,7 @@ def sales_summary(
         F.sum("weekend").alias("weekend_revenue"),
         F.sum("weekday").alias("weekday_revenue"),
     )
-    return totals.orderBy(F.desc("month"), F.desc("total_revenue"), "category", "region").select(
+    return summed.orderBy(F.desc("month"), F.desc("total_revenue"), "category", "region").select(
         month_label(F.col("month")).alias("month_year"),
         "category",
         "region",
@@ -73,12 +72,11 @@ def product_performance(
     Sales are summed per product before the join, so the join meets one row per product.
     """
     facts = sale_measures(sales, "product_id", "customer_id", sale_id_unique=sale_id_unique)
-    sold = facts.groupBy("product_id").agg(
-        transaction_count(sale_id_unique).alias("total_sales"),
+    sold = totals(
+        facts, ["product_id"], sale_id_unique, "total_sales", "unique_customers",
         F.sum("units").alias("total_quantity"),
         F.sum("revenue").alias("total_revenue"),
         mean_amount().alias("avg_sale_amount"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         F.min("first_date").alias("first_sale_date"),
         F.max("last_date").alias("last_sale_date"),
     )
@@ -130,12 +128,11 @@ def sales_metrics(
     facts = sale_measures(sales, "product_id", "customer_id", sale_id_unique=sale_id_unique)
     facts = attach(facts, products, "product_id", ["category"], shrink)
     metrics = pin(
-        facts.groupBy("category", "month").agg(
-            transaction_count(sale_id_unique).alias("total_orders"),
+        totals(
+            facts, ["category", "month"], sale_id_unique, "total_orders", "unique_customers",
             F.sum("units").alias("total_quantity"),
             F.sum("revenue").alias("total_revenue"),
             mean_amount().alias("avg_order_value"),
-            F.count_distinct("customer_id").alias("unique_customers"),
         ),
         "category-months",
     )
@@ -171,11 +168,11 @@ def dynamic_report(
 
     def monthly(report: str, dimension: DataFrame, key: str, label: str) -> DataFrame:
         facts = sale_measures(sales, key, sale_id_unique=sale_id_unique)
-        totals = attach(facts, dimension, key, [label], shrink).groupBy(label, "month").agg(
+        summed = attach(facts, dimension, key, [label], shrink).groupBy(label, "month").agg(
             transaction_count(sale_id_unique).cast("double").alias("total_orders"),
             (F.sum("revenue").cast("double") / 100).alias("total_revenue"),
         )
-        return totals.select(
+        return summed.select(
             F.lit(report).alias("report_type"),
             F.col(label).alias("dimension"),
             month_label(F.col("month")).alias("time_period"),
@@ -194,12 +191,12 @@ def dynamic_report(
 def monthly_category_top10(sales: DataFrame, products: DataFrame) -> DataFrame:
     """The ten latest and best-selling month and category pairs."""
     facts = sale_measures(sales, "product_id", sale_id_unique=True)
-    totals = (
+    summed = (
         attach(facts, products, "product_id", ["category"], fold)
         .groupBy("month", "category")
         .agg(F.sum("lines").alias("transactions"), F.sum("revenue").alias("total_revenue"))
     )
-    top = totals.orderBy(F.desc("month"), F.desc_nulls_last("total_revenue"), "category").limit(10)
+    top = summed.orderBy(F.desc("month"), F.desc_nulls_last("total_revenue"), "category").limit(10)
     return top.select(
         month_label(F.col("month")).alias("month"), "category", "transactions", _money("total_revenue")
     )

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tallyloom.functions.calendar import month_label
 from tallyloom.operators.integrity import constraint_violations, require
 from tallyloom.operators.merge import require_new_keys, survivors, untouched, with_defaults
+from tallyloom.operators.star import DIGEST, row_digest
 from tallyloom.plans.catalog import Catalog
 from tallyloom.schemas import DATA_QUALITY_LOGS, PIPELINE_RUNS, STG_SALES, TABLES, TableSpec
 from tallyloom.sources.folders import exists, names
@@ -50,7 +51,7 @@ class TableStore:
         self.root = root
         self.catalog = Catalog(spark, root, database) if database else None
         self._pending: dict[str, Slices] = {}
-        self._listed: dict[tuple[str, ...], DataFrame] = {}
+        self._listed: dict[tuple, DataFrame] = {}
         self.version, self._slices = self._current()
 
     def _list(self, version: int) -> str:
@@ -66,16 +67,16 @@ class TableStore:
                 slices.setdefault(row["table_name"], {})[row["slice"]] = row["path"]
         return version, slices
 
-    def read(self, spec: TableSpec, months: set[str] | None = None) -> DataFrame:
-        """The current table, or only some of its months; empty if nothing is stored."""
+    def read(self, spec: TableSpec, months: set[str] | None = None, digest: bool = False) -> DataFrame:
+        """The current table, or only some of its months; empty if nothing is stored. ``digest`` adds ``DIGEST``."""
+        schema = T.StructType([*spec.schema.fields, T.StructField(DIGEST, T.StringType())]) if digest else spec.schema
         current = self._slices.get(spec.name, {})
         paths = [p for s, p in sorted(current.items()) if months is None or _month_of(s) in months]
         # Folders never change once written: one listing of them serves every reader.
-        known = (spec.name, *paths)
+        known = (spec.name, digest, *paths)
         if known not in self._listed:
             self._listed[known] = (
-                self.spark.read.schema(spec.schema).parquet(*paths) if paths
-                else self.spark.createDataFrame([], spec.schema)
+                self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
             )
         return self._listed[known]
 
@@ -108,7 +109,8 @@ class TableStore:
     def write_whole(self, spec: TableSpec, rows: DataFrame) -> Slices:
         """Write a table anew; returns the entries to stage."""
         path = self._new_folder(spec.name)
-        rows.select(*spec.columns).write.parquet(path)
+        kept = [row_digest(rows, rows, spec.digest_of).alias(DIGEST)] if spec.digest_of else []
+        rows.select(*spec.columns, *kept).write.parquet(path)
         return {**{s: None for s in self._slices.get(spec.name, {})}, WHOLE: path}
 
     def _month(self, spec: TableSpec) -> Column:

@@ -22,6 +22,7 @@ class TableSpec:
 
     ``slice_date`` names the column, a date or a yyyymmdd key, whose month splits the stored files,
     so that a load rewrites only the months it touches. A table without a primary key is only appended to.
+    ``digest_of`` names the columns of which the stored files keep a digest, besides the table's columns.
     """
 
     name: str
@@ -32,6 +33,7 @@ class TableSpec:
     references: tuple[Reference, ...] = ()
     default_now: tuple[str, ...] = ()
     slice_date: str | None = None
+    digest_of: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -107,6 +109,7 @@ DIM_PRODUCT = TableSpec(
         effective_date=_DATE, end_date=_DATE, is_current=_FLAG,
     ),
     primary_key="product_key",
+    digest_of=("product_name", "category", "price"),
 )
 
 DIM_CUSTOMER = TableSpec(
@@ -116,6 +119,7 @@ DIM_CUSTOMER = TableSpec(
         effective_date=_DATE, end_date=_DATE, is_current=_FLAG,
     ),
     primary_key="customer_key",
+    digest_of=("customer_name", "email", "region"),
 )
 
 DIM_DATE = TableSpec(
