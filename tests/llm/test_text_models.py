@@ -3,10 +3,13 @@
 import base64
 import bz2
 import gzip
+import itertools
 import lzma
+import math
 import textwrap
 import time
 import zlib
+from collections import Counter
 from urllib.parse import quote, unquote_to_bytes
 
 import __spark_entry__ as entry
@@ -14,7 +17,7 @@ import corpus_pipeline
 from tallyloom.llm.language import identify
 from tallyloom.llm.licences import TEMPLATES, scan_licences
 from tallyloom.llm.secrets_scan import KINDS, find_secrets, scan, scan_layers
-from tallyloom.llm.url_rules import judge
+from tallyloom.llm.url_rules import DEVIATIONS, MIN_LABELS, judge
 
 DOCS = "doc_id bigint, text string, lang string"
 SECRET = "password=hunter2secret"
@@ -224,6 +227,80 @@ def test_url_rules(shared):
     assert all(got[100 + i].verdict == ("block" if i % 2 else "allow") for i in range(200))
 
 
+def brute_mined(urls, support, lift):
+    """{url: confidence of its surest rule} by counting every combination of tokens of every labelled URL."""
+    urls_of = Counter()
+    blocks_of = Counter()
+    labelled = [(tokens, block) for tokens, block in urls if block is not None]
+    rate, least = sum(b for _, b in labelled) / len(labelled), max(MIN_LABELS, math.ceil(support * len(labelled)))
+    for tokens, block in labelled:
+        for n in range(1, len(tokens) + 1):
+            for items in itertools.combinations(sorted(tokens), n):
+                urls_of[items] += 1
+                blocks_of[items] += block
+    sure = {}
+    for items, n in urls_of.items():
+        p, z = blocks_of[items] / n, DEVIATIONS
+        low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if n >= least and p >= lift * rate and low > rate:
+            sure[frozenset(items)] = p
+    return [max((p for items, p in sure.items() if items <= tokens), default=None) for tokens, _ in urls]
+
+
+def test_mined_rules_agree_with_brute_force(shared, prose):
+    rng = prose.rng
+    rows, labels, urls = [], [], []
+    for i in range(900):
+        host, section, word, other = rng.choice("abc"), rng.choice(["news", "win"]), rng.choice(["x", "y", "z"]), rng.choice(["p", "q"])
+        twin = "/t-u" if host == "a" else ""  # two tokens always together
+        url = f"http://{host}.org/{section}/{word}/{other}{twin}/{i}"
+        bad = {("win", "x"): 0.9, ("news", "z"): 0.55}.get((section, word), 0.15) + (0.1 if host == "b" else 0)
+        block = int(rng.random() < bad) if i % 3 else None
+        tokens = {"host0:org", f"host1:{host}", f"path:{section}", f"path:{word}", f"path:{other}", "path:#", "end:"}
+        tokens |= {"path:t", "path:u"} if twin else set()
+        rows.append((i, url, "clash", 1.0))
+        urls.append((frozenset(tokens), block))
+        if block is not None:
+            labels.append((i, 1 - block, 0))
+            if i % 2:
+                labels.append((i, 1, 0))  # a second, milder one
+    pages = shared.createDataFrame(rows, "page_id bigint, url string, tokens string, mined double").repartition(4)
+    found = judge(pages, shared.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), rules=(), support=0.02)
+    got = {r.page_id: r for r in found.collect()}
+    wanted = brute_mined(urls, 0.02, 1.2)
+    assert sum(w is not None for w in wanted) > 200 and None in wanted
+    for i, confidence in enumerate(wanted):
+        assert (got[i].mined is None) == (confidence is None) and got[i].verdict == ("allow" if confidence is None else "block")
+        assert confidence is None or abs(got[i].mined - confidence) < 1e-9
+
+
+def test_long_urls_labelled_often_end_soon(shared):
+    long = "http://spam.example.org/" + "/".join(f"w{chr(97 + i % 26)}{'x' * i}" for i in range(30))
+    rows = [(i, long) for i in range(60)] + [(100 + i, f"{long}/{i}?k{i % 7}=1") for i in range(60)]
+    # Each lacks one of the parts, so that no two tokens are in the very same URLs.
+    parts = long[7:].split("/")
+    rows += [(200 + i, "http://" + "/".join(p for n, p in enumerate(parts) if n != 1 + i % 30) + f"/{i}") for i in range(60)]
+    rows += [(300 + i, f"http://h{i}.com/a{i}") for i in range(200)]
+    labels = [(i, 0, 0) for i, _ in rows if i < 300] + [(300 + i, 1, 0) for i in range(200)]
+    began = time.time()
+    found = judge(
+        shared.createDataFrame(rows, "page_id bigint, url string"), shared.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+        rules=(),
+    ).collect()
+    assert all(r.verdict == ("block" if r.page_id < 300 else "allow") for r in found) and len(found) == len(rows)
+    assert time.time() - began < 90
+
+
+def test_url_filter_edges(shared):
+    kinds, labelled = "page_id bigint, url string, host int, token string", "doc_id bigint, quality int, toxic int"
+    none = shared.createDataFrame([], kinds), shared.createDataFrame([], labelled)
+    assert judge(*none).count() == 0
+    rows = [(1, "http://a.com/x", 1, None), (1, "http://a.com/x", 1, None), (None, "http://b.net/es/", None, ""), (2, None, None, None), (3, "", 0, "")]
+    found = judge(shared.createDataFrame(rows, kinds), none[1])
+    assert sorted((r.page_id or 0, r.host, r.verdict) for r in found.collect()) == [
+        (0, "b.net", "block"), (1, "a.com", "allow"), (1, "a.com", "allow"), (2, "", "allow"), (3, "", "allow")]
+
+
 def test_licences(shared, prose):
     rows = [(i, "\n".join(" ".join(prose(20)) for _ in range(4)), "en") for i in range(60)]
     rows += [(100 + i, " ".join(prose(20)) + f"\n{text}\n", "en") for i, (_, text) in enumerate(TEMPLATES)]
