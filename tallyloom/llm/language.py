@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.words import pieces
-from tallyloom.llm.workspace import small_batches
+from tallyloom.llm.workspace import free_name, small_batches
 
 DIM = 2048
 PER_LANGUAGE = 600
@@ -210,9 +210,9 @@ def fit(
 
 def identify(
     docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str = "lang", per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS,
+    lang_col: str = "lang", per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS, into: str = "language",
 ) -> DataFrame:
-    """``docs`` with a column ``language``: (lang_pred, score, rejected, held_out).
+    """``docs`` with a column ``into``: (lang_pred, score, rejected, held_out). One of that name is replaced.
 
     Learns from rows with text and language for which ``held_out`` (default: crc32 of the id as text,
     modulo 3, is 1) is not true. ``score`` is the cosine with the nearest centroid, from 0 to 1.
@@ -240,7 +240,7 @@ def identify(
     def told(texts: pd.Series) -> pd.DataFrame:
         model = Model(**sent.value) if sent.value else None
         column = pa.array(texts, pa.binary(), from_pandas=True)
-        names, scores, rejects = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+        names, scores, rejects = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if model is not None:
             for first, counts in counts_of(column):
                 lang, score, reject = model.predict(counts)
@@ -252,8 +252,9 @@ def identify(
         return pd.DataFrame({"lang_pred": names, "score": scores, "rejected": rejects})
 
     guess = told(F.when(readable, text.cast("binary")))
-    marked = docs.withColumn("_guess", guess).withColumn("_held", held)
+    guessed, kept_out = free_name([*docs.columns, into], "guess"), free_name([*docs.columns, into], "held")
+    marked = docs.withColumn(guessed, guess).withColumn(kept_out, held)
     none = F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
-    best = F.when(readable, F.col("_guess")).otherwise(none)
+    best = F.when(readable, F.col(guessed)).otherwise(none)
     fields = [best[name].alias(name) for name in ("lang_pred", "score", "rejected")]
-    return marked.withColumn("language", F.struct(*fields, F.col("_held").alias("held_out"))).drop("_guess", "_held")
+    return marked.withColumn(into, F.struct(*fields, F.col(kept_out).alias("held_out"))).drop(guessed, kept_out)

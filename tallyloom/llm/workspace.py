@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterable
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +23,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, BATCH_ROWS)
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, led by as many underscores as it takes to be none of ``columns`` in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Workspace:
     """Writes intermediate tables to the shared folder and removes those no longer needed.
 
@@ -42,7 +51,11 @@ class Workspace:
         return table
 
     def release(self) -> None:
-        """Let Spark delete the shuffle files of finished writes, as it does when the driver collects garbage."""
+        """Let Spark delete the shuffle files of finished writes.
+
+        It does so when the driver collects the garbage that names them, and a driver with little to do does not for
+        long: the files of all steps would pile up on the executors' disks.
+        """
         gc.collect()
         self.spark._jvm.System.gc()
 

@@ -176,6 +176,66 @@ def test_mix(shared, prose):
     assert last > 100
 
 
+def md5(*parts):
+    return hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+
+
+def plain_mix(rows, weights, share, most, block):
+    """{id: (taken, first slot)} of (id, text, source): streams laid out word by word, the schedule slot by slot."""
+    sizes = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _ in rows}
+    sources = sorted({s for *_, s in rows}, key=lambda s: (s is None, (s or "").encode()))
+    totals = [sum(sizes[i] for i, _, s in rows if s == source) for source in sources]
+    targets = targets_of(totals, [weights[n % len(weights)] for n in range(len(sources))], share, most)
+    words = [[] for _ in sources]  # the id of every word of a source's stream
+    for n, source in enumerate(sources):
+        for epoch in (0, 1):
+            for i in sorted((i for i, _, s in rows if s == source), key=lambda i: md5("mix", epoch, i)):
+                words[n] += [i] * sizes[i]
+        words[n] = words[n][: int(targets[n])]
+    blocks = [-(-len(w) // block) for w in words]
+    slots, used, total = {}, [0] * len(sources), sum(blocks)
+    for slot in range(total):
+        point = int(f"{slot:040b}"[::-1], 2) / 2**40
+        n = next((n for n in range(len(sources)) if point < sum(blocks[: n + 1]) / total), len(sources) - 1)
+        slots[n, used[n]] = slot
+        used[n] += 1
+    out = {i: (0, None) for i, *_ in rows}
+    for n, stream in enumerate(words):
+        for at, i in enumerate(stream):
+            slot = slots.get((n, at // block), total + at // block)
+            taken, first = out[i]
+            out[i] = (taken + 1, slot if first is None else min(first, slot))
+    return out
+
+
+@pytest.mark.parametrize("block", [7, 64])
+def test_mix_agrees_with_a_plain_schedule(shared, prose, block):
+    sources = ["a"] * 40 + ["b"] * 25 + [None] * 13 + ["é"] * 6 + ["tiny"]
+    texts = [" ".join(prose(prose.rng.randint(0, 60))) if prose.rng.random() < 0.95 else None for _ in sources]
+    got = {r.doc_id: (r.taken, r.first_slot) for r in mix(frame(shared, texts, sources), block_words=block).collect()}
+    rows = [(i, t, s) for i, (t, s) in enumerate(zip(texts, sources))]
+    assert got == plain_mix(rows, (5, 2, 1), 1.5, 2.0, block)
+
+
+def test_interleave_agrees_with_a_plain_placement(shared, prose):
+    sources = ["a"] * 90 + ["b"] * 45 + [None] * 11 + [f"s{i}" for i in range(7)]
+    rows = list(enumerate(sources))
+    places = []
+    for source in set(sources):
+        own = sorted((i for i, s in rows if s == source), key=lambda i: md5("shard", i))
+        offset = (int(md5("shard", source or "")[:7], 16) + 0.5) / 2**28
+        places += [((rank + offset) / len(own), source is None, (source or "").encode(), md5("shard", i), i) for rank, i in enumerate(own)]
+    wanted, seen = {}, Counter()
+    for position, (*_, i) in enumerate(sorted(places)):
+        shard = position * 6 // len(rows)
+        wanted[i] = (shard, seen[shard])
+        seen[shard] += 1
+    texts = [" ".join(prose(3)) for _ in rows]
+    clash = frame(shared, texts, sources).selectExpr("*", "1 AS rank", "'x' AS place", "2 AS part", "3 AS key", "4 AS n")
+    got = {r.doc_id: (r.shard, r.slot) for r in interleave(clash, shards=6).collect()}
+    assert got == wanted
+
+
 def test_mix_edges(shared, prose):
     got = mix(edges(shared, prose)).collect()
     assert len(got) == 9 and sum(r.taken for r in got) > 27000
