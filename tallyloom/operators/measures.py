@@ -75,7 +75,7 @@ def totals(facts: DataFrame, group: list[str], sale_id_unique: bool, transaction
         return facts.groupBy(*group).agg(
             F.sum("transactions").alias(transactions), F.count_distinct("customer_id").alias(customers), *measures
         )
-    sales = fold(facts.drop("customer_id")).groupBy(*group).agg(F.count("sale_id").alias(transactions), *measures)
+    sales = fold(facts.select(*group, "sale_id", *[c for c in facts.columns if c in _COMBINE])).groupBy(*group).agg(F.count("sale_id").alias(transactions), *measures)
     buyers = facts.select(*[F.col(g).alias(f"_{g}") for g in group], "customer_id").distinct()
     buyers = buyers.groupBy(*[f"_{g}" for g in group]).agg(F.count("customer_id").alias(customers))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]

@@ -55,7 +55,7 @@ def test_every_plan_gives_the_same_reports(tables, monkeypatch, bound):
 
 def test_sizes_are_measured(tables):
     _, products, _ = tables
-    assert 40 * 64 < lookup.measured_bytes(products.select("product_id", "category")) < 40 * 200
+    assert 40 * 64 < lookup.measured_bytes(products.select("product_id", "category"))[0] < 40 * 200
     assert lookup.measured_bytes(products.limit(0)) == 0
 
 
@@ -113,3 +113,27 @@ def test_a_small_dimension_costs_no_shuffle_of_the_facts(tables, capsys):
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and plan.count("hashpartitioning") == 1
     assert "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize("build", [
+    lambda t, unique: reports.sales_summary(*t, sale_id_unique=unique),
+    lambda t, unique: reports.product_performance(*t[:2], sale_id_unique=unique),
+    lambda t, unique: reports.sales_metrics(*t[:2], sale_id_unique=unique),
+])
+def test_repeated_sales_count_once_without_expand(tables, build, capsys):
+    """Rows of one sale in several products and groups; money and units add up as before."""
+    sales, products, customers = tables
+    again = sales.withColumn("product_id", F.col("product_id") % 30 + 1)
+    twice = sales.unionByName(again).unionByName(sales)
+    built = build((twice, products, customers), False)
+    built.explain()
+    assert "Expand" not in capsys.readouterr().out
+    counts = [c for c in built.columns if c in ("total_transactions", "total_sales", "total_orders")]
+    keys = [c for c in ("month_year", "category", "region", "product_id") if c in built.columns]
+    lines = twice.join(products, "product_id").join(customers, "customer_id") if "region" in keys else twice.join(products, "product_id")
+    lines = lines.withColumn("month_year", F.date_format("sale_date", "yyyy-MM")).filter("category IS NOT NULL" if "region" not in keys else "true")
+    wanted = {tuple(r)[:-3]: tuple(r)[-3:] for r in lines.groupBy(*keys).agg(
+        F.count_distinct("sale_id"), F.count_distinct("customer_id"), F.sum("quantity")).collect()}
+    units = [c for c in built.columns if c in ("total_units_sold", "total_quantity")]
+    got = {tuple(r[k] for k in keys): (r[counts[0]], r.unique_customers, r[units[0]]) for r in built.collect() if r[counts[0]]}
+    assert got == wanted
