@@ -4,7 +4,9 @@ The first level has half the window's length. Not all its windows are looked up:
 windows inside any full window the one with the smallest hash is its anchor, so equal full windows have
 equal anchors, and a text has few. Anchors that occur in one text alone are dropped; every other
 anchor is extended to the full windows that it is the anchor of. Windows that repeat at one
-length are extended to twice that length, until no candidates survive or ``longest`` is reached.
+length are extended to twice that length, until no candidates survive or ``longest`` is reached: a text keeps the
+places and hashes of its repeated windows together, so two of them are joined to one in place, and of equal texts,
+which repeat to their end, one stands for all with their smallest and largest id.
 Only hashes, with the smallest and largest id that has them, are shuffled, summed up on the map
 side first, so a passage that many texts share is a few rows.
 """
@@ -12,13 +14,14 @@ side first, so a passage that many texts share is a few rows.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.words import SPACE, find_words, gram_hashes, pieces, word_hashes
+from tallyloom.llm.words import SPACE, find_words, gram_hashes, mix, pieces, word_hashes
 from tallyloom.llm.workspace import Workspace
 
 KEY = ["doc_id", "fp"]
@@ -120,15 +123,68 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _surviving(space: Workspace, windows: DataFrame) -> DataFrame:
-    """The windows that repeat, with the smallest id that has them.
+def _repeated(space: Workspace, windows: DataFrame, low: str, high: str) -> DataFrame:
+    """(repeated, first): the hashes of windows that occur in several ids, with the smallest.
 
-    The repeated hashes are written first: a join of two shuffles, unlike one of an aggregate in
-    place, can be split where many texts share a passage.
+    Written before they are joined: a join of two shuffles, unlike one of an aggregate in place, can be split
+    where many texts share a passage.
     """
-    ids = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    repeated = space.pin(ids.filter("first < last").select(F.col("hash").alias("_hash"), "first"), "repeated")
-    return windows.join(repeated, F.col("hash") == F.col("_hash")).drop("_hash")
+    ids = windows.groupBy("hash").agg(F.min(low).alias("first"), F.max(high).alias("last"))
+    return space.pin(ids.filter("first < last").select(F.col("hash").alias("repeated"), "first"), "repeated")
+
+
+def _surviving(space: Workspace, windows: DataFrame) -> DataFrame:
+    """The windows (doc_id, ..., hash) that repeat, with the smallest id that has them."""
+    repeated = _repeated(space, windows, "doc_id", "doc_id")
+    return windows.join(repeated, F.col("hash") == F.col("repeated")).drop("repeated")
+
+
+def _doubled(texts: DataFrame, length: int) -> DataFrame:
+    """(fp, low, high, at, hash): windows of twice ``length`` words whose halves are both among the text's."""
+
+    def double(batches):
+        for batch in batches:
+            at, hashes = [], []
+            for places, values in zip(batch.column(3), batch.column(4)):
+                begins, h = np.asarray(places.values), np.asarray(values.values).view(np.uint64)
+                second = np.searchsorted(begins, begins + length)
+                found = np.flatnonzero(np.append(begins, -1)[second] == begins + length)
+                with np.errstate(over="ignore"):
+                    both = mix(h[found] * np.uint64(0x9E3779B97F4A7C15) + mix(h[second[found]]))
+                at.append(begins[found]), hashes.append(both.view(np.int64))
+            some = pa.array([len(a) > 0 for a in at], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], _ragged(at, np.int32), _ragged(hashes, np.int64)], ["fp", "low", "high", "at", "hash"]
+            ).filter(some)
+
+    return texts.mapInArrow(double, "fp bigint, low bigint, high bigint, at array<int>, hash array<bigint>")
+
+
+def _longest(space: Workspace, survivors: DataFrame, window: int, longest: int | None) -> DataFrame:
+    """(fp, longest_repeat) of the texts that have windows (doc_id, fp, w: array<struct<at, hash, ...>>)."""
+    classes = survivors.groupBy(F.col("fp").alias("class")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    texts = survivors.join(classes, (F.col("fp") == F.col("class")) & (F.col("doc_id") == F.col("low"))).select(
+        "fp", "low", "high", F.col("w.at").alias("at"), F.col("w.hash").alias("hash")
+    )
+    texts, length, levels = space.pin(texts, "level"), window, []
+    while not texts.isEmpty():
+        levels.append(space.pin(texts.select("fp", F.lit(length).alias("longest_repeat")), "reached"))
+        if longest is not None and 2 * length > longest:
+            break
+        doubled = space.pin(_doubled(texts, length), "doubled")
+        windows = doubled.select("fp", "low", "high", F.explode(F.arrays_zip("at", "hash")).alias("w")).select(
+            "fp", "low", "high", "w.at", "w.hash"
+        )
+        repeated = _repeated(space, windows, "low", "high")
+        kept = windows.join(repeated, F.col("hash") == F.col("repeated")).groupBy("fp", "low", "high").agg(
+            F.sort_array(F.collect_list(F.struct("at", "hash"))).alias("w")
+        )
+        following = space.pin(kept.select("fp", "low", "high", F.col("w.at").alias("at"), F.col("w.hash").alias("hash")), "level")
+        space.drop(texts, doubled, repeated)
+        texts, length = following, 2 * length
+    space.drop(texts)
+    reached = reduce(DataFrame.union, levels) if levels else survivors.select("fp", F.lit(0).alias("longest_repeat"))
+    return reached.groupBy("fp").agg(F.max("longest_repeat").alias("longest_repeat"))
 
 
 def remove_repeats(
@@ -158,27 +214,21 @@ def remove_repeats(
     candidates = texts.join(wanted, KEY).dropDuplicates(KEY).select(*KEY, "text", "repeated")
     candidates = space.pin(_extended(candidates, window), "windows")
     windows = candidates.select(*KEY, F.explode(F.arrays_zip("at", "hash")).alias("w")).select(*KEY, "w.at", "w.hash")
-    level = space.pin(_surviving(space, windows), "level")
-    later = level.filter("first < doc_id").groupBy(*KEY).agg(F.collect_set("at").alias("places"))
+    found = F.struct("at", "hash", (F.col("first") < F.col("doc_id")).alias("later"))
+    survivors = space.pin(
+        _surviving(space, windows).groupBy(*KEY).agg(F.sort_array(F.collect_list(found)).alias("w")), "survivors"
+    )
+    later = survivors.select(*KEY, F.filter("w", lambda w: w["later"])["at"].alias("places")).filter(F.size("places") > 0)
     cut = space.pin(_cut(candidates.join(later, KEY).select(*KEY, "text", "places"), window), "cut")
     space.drop(candidates)
-
-    length = window
-    reached = space.pin(level.select(*KEY).distinct().withColumn("longest_repeat", F.lit(length)), "reached")
-    while (longest is None or 2 * length <= longest) and not level.isEmpty():
-        head = level.select(*KEY, "at", F.col("hash").alias("h1"))
-        tail = level.select(*KEY, (F.col("at") - length).alias("at"), F.col("hash").alias("h2"))
-        doubled = head.join(tail, [*KEY, "at"]).select(*KEY, "at", F.xxhash64("h1", "h2").alias("hash"))
-        following = space.pin(_surviving(space, space.pin(doubled, "doubled")), "level")
-        length *= 2
-        longer = following.select(*KEY).distinct().withColumn("longest_repeat", F.lit(length))
-        grown = space.pin(reached.union(longer).groupBy(*KEY).agg(F.max("longest_repeat").alias("longest_repeat")), "reached")
-        space.drop(level, reached)
-        level, reached = following, grown
-    space.drop(level)
+    # Told by text: the rows of one text in several ids repeat to its end, as far as levels go.
+    reached = space.pin(_longest(space, survivors, window, longest), "reached").withColumnRenamed("fp", "text_fp")
+    repeating = survivors.select(*KEY).join(reached, F.col("fp") == F.col("text_fp")).drop("text_fp")
+    repeating = space.pin(repeating, "repeating")
+    space.drop(survivors)
 
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    return all_rows.drop("anchors").join(cut, KEY, "left").join(reached, KEY, "left").select(
+    return all_rows.drop("anchors").join(cut, KEY, "left").join(repeating, KEY, "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("removed", none).alias("removed"),
         F.coalesce("longest_repeat", F.lit(0)).alias("longest_repeat"),
