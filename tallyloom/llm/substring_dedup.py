@@ -160,10 +160,13 @@ def _doubled(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(double, "fp bigint, low bigint, high bigint, at array<int>, hash array<bigint>")
 
 
-def _longest(space: Workspace, survivors: DataFrame, window: int, longest: int | None) -> DataFrame:
-    """(fp, longest_repeat) of the texts that have windows (doc_id, fp, w: array<struct<at, hash, ...>>)."""
-    classes = survivors.groupBy(F.col("fp").alias("class")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    texts = survivors.join(classes, (F.col("fp") == F.col("class")) & (F.col("doc_id") == F.col("low"))).select(
+def _longest(space: Workspace, level: DataFrame, window: int, longest: int | None) -> DataFrame:
+    """(fp, longest_repeat) of the texts that have repeated windows (doc_id, fp, at, hash)."""
+    classes = level.select(F.col("fp").alias("class"), "doc_id").groupBy("class").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    )
+    one = level.join(classes, (F.col("fp") == F.col("class")) & (F.col("doc_id") == F.col("low")))
+    texts = one.groupBy("fp", "doc_id", "low", "high").agg(F.sort_array(F.collect_list(F.struct("at", "hash"))).alias("w")).select(
         "fp", "low", "high", F.col("w.at").alias("at"), F.col("w.hash").alias("hash")
     )
     texts, length, levels = space.pin(texts, "level"), window, []
@@ -183,7 +186,7 @@ def _longest(space: Workspace, survivors: DataFrame, window: int, longest: int |
         space.drop(texts, doubled, repeated)
         texts, length = following, 2 * length
     space.drop(texts)
-    reached = reduce(DataFrame.union, levels) if levels else survivors.select("fp", F.lit(0).alias("longest_repeat"))
+    reached = reduce(DataFrame.union, levels) if levels else level.select("fp", F.lit(0).alias("longest_repeat"))
     return reached.groupBy("fp").agg(F.max("longest_repeat").alias("longest_repeat"))
 
 
@@ -214,18 +217,15 @@ def remove_repeats(
     candidates = texts.join(wanted, KEY).dropDuplicates(KEY).select(*KEY, "text", "repeated")
     candidates = space.pin(_extended(candidates, window), "windows")
     windows = candidates.select(*KEY, F.explode(F.arrays_zip("at", "hash")).alias("w")).select(*KEY, "w.at", "w.hash")
-    found = F.struct("at", "hash", (F.col("first") < F.col("doc_id")).alias("later"))
-    survivors = space.pin(
-        _surviving(space, windows).groupBy(*KEY).agg(F.sort_array(F.collect_list(found)).alias("w")), "survivors"
-    )
-    later = survivors.select(*KEY, F.filter("w", lambda w: w["later"])["at"].alias("places")).filter(F.size("places") > 0)
+    level = space.pin(_surviving(space, windows), "repeats")
+    later = level.filter("first < doc_id").groupBy(*KEY).agg(F.collect_set("at").alias("places"))
     cut = space.pin(_cut(candidates.join(later, KEY).select(*KEY, "text", "places"), window), "cut")
     space.drop(candidates)
     # Told by text: the rows of one text in several ids repeat to its end, as far as levels go.
-    reached = space.pin(_longest(space, survivors, window, longest), "reached").withColumnRenamed("fp", "text_fp")
-    repeating = survivors.select(*KEY).join(reached, F.col("fp") == F.col("text_fp")).drop("text_fp")
-    repeating = space.pin(repeating, "repeating")
-    space.drop(survivors)
+    rows = space.pin(level.select(*KEY).distinct(), "rows")
+    reached = space.pin(_longest(space, level, window, longest), "longest").withColumnRenamed("fp", "text_fp")
+    repeating = rows.join(reached, F.col("fp") == F.col("text_fp")).drop("text_fp")
+    space.drop(level)
 
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
     return all_rows.drop("anchors").join(cut, KEY, "left").join(repeating, KEY, "left").select(
