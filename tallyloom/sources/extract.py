@@ -16,7 +16,7 @@ def check_sources(sources: list[Mapping]) -> None:
     """Name an unsupported source before any job starts."""
     for source in sources:
         if source["type"] not in SOURCE_TYPES:
-            raise ValueError(f"Unsupported source type: {source['type']}")
+            raise ValueError(f"no such kind of source: {source['type']}")
 
 
 def read_source(spark: SparkSession, source: Mapping) -> DataFrame:

@@ -10,6 +10,7 @@ from tallyloom.plans.job import SalesJob
 from tallyloom.plans.store import TableStore
 from tallyloom.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, SALES, TABLES
 from tallyloom.sources.delimited import SEQ, read_text_cells, typed, write_csv
+from tallyloom.sources.folders import claim
 
 SALES_CSV = """sale_id,product_id,customer_id,quantity,sale_date,amount
 1,101,201,2,2024-01-01,100.0
@@ -145,6 +146,22 @@ def test_append_job_and_collision(spark, tmp_path):
     assert (run.status, run.records_processed) == ("FAILED", 0) and "stored already" in run.error_message
 
 
+def test_two_jobs_never_share_an_id(spark, tmp_path):
+    """Both have looked at the ids before either takes one; those of a batch may lie apart."""
+    one, other = AuditLog(spark, str(tmp_path)), AuditLog(spark, str(tmp_path))
+    rows = spark.createDataFrame([("t", "c", True, "{}")] * 3, "table_name string, check_type string, check_result boolean, details string")
+    ids = [log.start(name, NOW) for log, name in ((one, "a"), (other, "b"), (other, "b"), (one, "a"))]
+    assert ids == [1, 2, 3, 4]
+    for log, run in ((one, 1), (other, 2), (one, 1)):
+        log.log_checks(run, rows, NOW)
+    assert sorted((r.log_id, r.run_id) for r in other.logs().collect()) == [
+        (1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 1), (8, 1), (9, 1)]
+    assert claim(spark, f"{tmp_path}/audit/ids/run_id/5") and not claim(spark, f"{tmp_path}/audit/ids/run_id/5")
+    assert one.start("a", NOW) == 6
+    one.end(2, "b", "FAILED", 0, NOW, "late")
+    assert {r.run_id: r.status for r in one.runs().collect()} == {1: "STARTED", 2: "FAILED", 3: "STARTED", 4: "STARTED", 6: "STARTED"}
+
+
 def test_stages(spark, tmp_path):
     job = SalesJob(spark, append_only(tmp_path), str(tmp_path / "lake"))
     extracted = job.extract()
@@ -153,7 +170,7 @@ def test_stages(spark, tmp_path):
 
 
 @pytest.mark.parametrize("change, message", [
-    ({"sources": [{"name": "sales", "type": "parquetx", "path": "x"}]}, "Unsupported source type: parquetx"),
+    ({"sources": [{"name": "sales", "type": "parquetx", "path": "x"}]}, "no such kind of source: parquetx"),
     ({"sources": [{"name": "sales", "type": "csv", "path": "/nowhere.csv"}]}, "nowhere.csv"),
     ({"destinations": [{"source": "sales", "table": "sales", "merge_key": "amount"}]}, "merges on sale_id"),
     ({"quality_checks": {"threshold": 0.95, "fail_on_error": True}}, "5/6 checks passed"),

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import random
 
 import pytest
@@ -56,7 +57,7 @@ def test_every_plan_gives_the_same_reports(tables, monkeypatch, bound):
 def test_sizes_are_measured(tables):
     _, products, _ = tables
     assert 40 * 64 < lookup.measured_bytes(products.select("product_id", "category"))[0] < 40 * 200
-    assert lookup.measured_bytes(products.limit(0)) == 0
+    assert lookup.measured_bytes(products.limit(0)) == [0]
 
 
 def test_unsold_products_rank_last(tables):
@@ -137,3 +138,17 @@ def test_repeated_sales_count_once_without_expand(tables, build, capsys):
     units = [c for c in built.columns if c in ("total_units_sold", "total_quantity")]
     got = {tuple(r[k] for k in keys): (r[counts[0]], r.unique_customers, r[units[0]]) for r in built.collect() if r[counts[0]]}
     assert got == wanted
+
+
+def test_row_order(tables):
+    def falls(values):
+        known = [v for v in values if v is not None]
+        return known == sorted(known, reverse=True) and values[: len(known)] == known  # null last
+
+    summary = reports.sales_summary(*tables, sale_id_unique=True).collect()
+    assert falls([r.month_year for r in summary])
+    for _, month in itertools.groupby(summary, key=lambda r: r.month_year):
+        assert falls([r.total_revenue for r in month])
+    assert falls([r.total_revenue for r in reports.product_performance(*tables[:2], sale_id_unique=True).collect()])
+    long = [(r.report_type, r.dimension or "", r.time_period or "", r.metric_name) for r in reports.dynamic_report(*tables, sale_id_unique=True).collect()]
+    assert long == sorted(long)

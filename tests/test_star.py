@@ -101,3 +101,39 @@ def test_keyed_fact_current_and_point_in_time(spark, sales, customers):
 
     assert keys() == [(1, 2, 1, 20240101), (2, 4, 2, 20240102), (3, None, 3, 20240103)]
     assert keys(point_in_time=True, after=5) == [(6, 2, 1, 20240101), (7, 3, 2, 20240102), (8, None, 3, 20240103)]
+
+
+def test_a_thousand_versions_meet_each_date_once(spark, capsys):
+    """Every version is valid for three days, some not at all; dates before the first and after a gap have none."""
+    start = dt.date(2020, 1, 1)
+    rows = [(k, 101, start + dt.timedelta(3 * k), start + dt.timedelta(3 * k + 3), False) for k in range(1000)]
+    rows += [(2000, 101, start + dt.timedelta(6), start + dt.timedelta(6), False), (3000, 102, start, start + dt.timedelta(2), False)]
+    dim = spark.createDataFrame(rows, "product_key bigint, product_id bigint, effective_date date, end_date date, is_current boolean")
+    buyers = spark.createDataFrame([(7, 201, start, None, True)], "customer_key bigint, customer_id bigint, effective_date date, end_date date, is_current boolean")
+    days = [-1, 0, 2, 3, 6, 7, 8, 1500, 2999, 3000] * 40
+    sales = [(i, 101, 201, 1, 1.0, start + dt.timedelta(d)) for i, d in enumerate(days)]
+    sales += [(1000, 102, 201, 1, 1.0, start + dt.timedelta(1)), (1001, 102, 201, 1, 1.0, start + dt.timedelta(2)), (1002, None, None, 1, 1.0, start)]
+    table = spark.createDataFrame(sales, "sale_id bigint, product_id bigint, customer_id bigint, quantity bigint, amount double, sale_date date")
+    fact = star.keyed_fact(table, dim, buyers, NOW, point_in_time=True)
+    got = [r.product_key for r in fact.orderBy("sales_key").collect()]
+    assert got == [None if d < 0 or d >= 3000 else d // 3 for d in days] + [3000, None, None]
+    fact.explain()
+    plan = capsys.readouterr().out
+    assert "effective_date" not in "".join(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_unchanged_rows_are_told_by_their_stored_digest(spark, capsys):
+    products = spark.createDataFrame([(i, f"p{i}", None if i % 3 else "c", i * 1.5) for i in range(50)],
+                                     "product_id bigint, product_name string, category string, price double")
+    typed = products.withColumn("price", F.col("price").cast("decimal(10,2)"))
+    dim = star.product_dimension(typed, DAY)
+    stored = dim.withColumn(star.DIGEST, star.row_digest(dim, dim, star.PRODUCT_TRACKED))
+    dearer = products.withColumn("price", F.when(F.col("product_id") == 7, 99.0).otherwise(F.col("price")))
+    later = DAY + dt.timedelta(1)
+    for known in (dim, stored):
+        merged = star.scd2_merge(known, dearer, "product_key", "product_id", star.PRODUCT_TRACKED, later)
+        assert merged.columns == dim.columns
+        rows = merged.filter("product_id = 7").orderBy("product_key").collect()
+        assert [(r.product_key, float(r.price), r.end_date, r.is_current) for r in rows] == [
+            (8, 10.5, later, False), (51, 99.0, None, True)]
+        assert merged.count() == 51 and merged.filter("is_current").count() == 50
