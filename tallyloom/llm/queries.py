@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +68,8 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query needs its files
+
     a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment_counts(_table(spark, sf_dir, "documents"), a, b)
 
