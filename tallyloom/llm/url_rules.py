@@ -5,8 +5,9 @@ of its ending, query keys. Labelled URLs, each once, are transactions of their t
 
 Tokens that occur in the very same labelled URLs are one token, as no rule could tell them apart. Of a URL
 ``BASKET`` tokens at most, those of the highest lift, go into its transaction, so that FP-growth makes at most 2^BASKET
-combinations of one URL, however long it is and however often it or a like one is labelled. The combinations it
-finds are candidates: their URLs are counted exactly, over whole token sets, by an inverted index.
+combinations of one URL, however long it is and however often it or a like one is labelled. What a cut transaction
+hides is grown token by token over whole token sets, level by level, so no combination that can be a rule is missed.
+All combinations found are candidates: their URLs are counted exactly, over whole token sets, by an inverted index.
 
 A rule is kept by its support and by its confidence against the base rate of the labels: the lower end of the Wilson
 interval of its confidence must lie above the rate. Of two rules the longer goes if the shorter one is in it and at
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
@@ -36,8 +38,9 @@ RULES = (
 
 # Tables of as many rows at most are sent to every task; larger ones are joined by a shuffle.
 SENT_ROWS = 100_000
-# A rule needs as many labelled URLs at least, and may have as many tokens.
+# A rule needs as many labelled URLs at least.
 MIN_LABELS = 20
+# FP-growth sees as many tokens of a URL; combinations of longer ones are grown by levels.
 BASKET = 10
 # Half the width of the interval of a confidence, in standard deviations.
 DEVIATIONS = 2.58
@@ -107,15 +110,55 @@ def _indexed(rules: DataFrame, classes: DataFrame) -> DataFrame:
     return rules.join(rarest, "rule_id")
 
 
-def _matches(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(..., rule_id, confidence) of every set (..., tokens) and every rule all of whose tokens it has.
+def _met(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """(..., tokens, rule_id, confidence, needs) of every set (..., tokens) and every rule all of whose tokens it has.
 
     An inverted index: a rule is listed under its anchor alone, so a set meets the rules of its tokens, and those
     whose other tokens it lacks go where they meet.
     """
     index = rules.select("rule_id", "confidence", F.col("tokens").alias("needs"), F.col("anchor").alias("token"))
-    met = sets.withColumn("token", F.explode("tokens")).join(_small(index), "token")
-    return met.filter(F.size(F.array_except("needs", "tokens")) == 0).drop("needs", "token", "tokens")
+    met = sets.withColumn("token", F.explode("tokens")).join(_small(index), "token").drop("token")
+    return met.filter(F.size(F.array_except("needs", "tokens")) == 0)
+
+
+def _matches(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """(..., rule_id, confidence) of every set (..., tokens) and every rule all of whose tokens it has."""
+    return _met(sets, rules).drop("needs", "tokens")
+
+
+def _grown(space: Workspace, whole: DataFrame, classes: DataFrame, least: int, blocked: int, rate: float) -> DataFrame | None:
+    """(tokens) of every combination in a set (set_id, block, tokens) of over ``BASKET`` tokens that may be a rule.
+
+    Level by level, each counted over all sets. Left out is only what cannot be a rule, nor any longer combination
+    with it: too few URLs or blocked ones; as many URLs as without one of its tokens, or one within it whose URLs are
+    all blocked, as the shorter combination is as sure then.
+    """
+    counts = F.count("*").alias("n"), F.sum("block").alias("b"), F.max("long").alias("long")
+    sets = space.pin(whole.withColumn("long", F.size("tokens") > BASKET), "whole-sets")
+
+    def hopeful(found: DataFrame) -> DataFrame:
+        # The best that a longer one could do: all of its blocked URLs, and no others beyond the least number.
+        told = found.filter(F.col("long") & (F.col("n") >= least) & (F.col("b") >= blocked)).withColumn("rate", F.lit(rate))
+        told = told.withColumn("best", F.greatest("b", F.lit(least)))
+        return told.filter(_surely_above("b", "best", "rate")).select("tokens", "n", "b")
+
+    single = sets.select("block", "long", F.explode("tokens").alias("token")).groupBy("token").agg(*counts)
+    level = space.pin(hopeful(single.withColumn("tokens", F.array("token"))), "level")
+    levels = []
+    while not level.isEmpty():
+        levels.append(level.select("tokens"))
+        grows = space.pin(level.filter("n > b").withColumn("rule_id", F.monotonically_increasing_id()), "growing")
+        index = _indexed(grows.withColumn("confidence", F.lit(None).cast("double")), classes)
+        after = F.filter("tokens", lambda t: t > F.element_at("needs", -1))
+        longer = _met(sets, index).select("block", "long", "needs", F.explode(after).alias("token"))
+        longer = hopeful(longer.groupBy("needs", "token").agg(*counts).withColumn("tokens", F.concat("needs", F.array("token"))))
+        # Every combination of one token less must be there, with more URLs.
+        parts = F.transform("tokens", lambda t: F.array_remove("tokens", t))
+        less = grows.select(F.col("tokens").alias("part"), F.col("n").alias("of"))
+        sound = longer.withColumn("part", F.explode(parts)).join(_small(less), "part").filter(F.col("of") > F.col("n"))
+        sound = sound.groupBy("tokens").agg(F.first("n").alias("n"), F.first("b").alias("b"), F.count("*").alias("parts"))
+        level = space.pin(sound.filter(F.col("parts") == F.size("tokens")).drop("parts"), "level")
+    return reduce(DataFrame.union, levels) if levels else None
 
 
 class Mined(NamedTuple):
@@ -152,19 +195,23 @@ def mine(space: Workspace, labelled: DataFrame, support: float, lift: float) ->
         F.transform("best", lambda x: x["token"]), F.when(F.col("block") == 1, F.array(F.lit("label:block"))).otherwise(F.array().cast("array<string>"))
     ).alias("items"))
     baskets = space.pin(baskets, "baskets")
-    # A rule of such confidence and support has at least so many blocked URLs; cut baskets may hide some of them.
-    share = min(1.0, max(1, math.ceil(least * rate * lift)) / max(n, 1))
+    # A rule of such confidence and support has at least so many blocked URLs.
+    few = max(1, math.ceil(least * rate * lift))
     kept = baskets.count()
-    model = FPGrowth(minSupport=min(1.0, share * n / max(kept, 1)), minConfidence=0.0).fit(baskets)
+    model = FPGrowth(minSupport=min(1.0, few / max(kept, 1)), minConfidence=0.0).fit(baskets)
     found = model.freqItemsets.filter(F.array_contains("items", "label:block") & (F.size("items") > 1))
-    rules = space.pin(found.select(
-        F.array_sort(F.array_remove("items", "label:block")).alias("tokens")
-    ).withColumn("rule_id", F.monotonically_increasing_id()), "candidates")
+    found = found.select(F.array_sort(F.array_remove("items", "label:block")).alias("tokens"))
 
-    candidates = _indexed(rules, classes).withColumn("confidence", F.lit(None).cast("double"))
-    whole = sets.groupBy("set_id", "block").agg(F.collect_set("token").alias("tokens"))
+    whole = sets.groupBy("set_id", "block").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
     # Dealt out evenly: a few small files of sets meet many rules.
     whole = whole.repartition(int(space.spark.conf.get("spark.sql.shuffle.partitions")))
+    # Transactions that were cut hide combinations, or some of their URLs; those are grown by levels.
+    if not whole.filter(F.size("tokens") > BASKET).isEmpty():
+        grown = _grown(space, whole, classes, least, few, rate)
+        found = found if grown is None else found.union(grown).distinct()
+    rules = space.pin(found.withColumn("rule_id", F.monotonically_increasing_id()), "candidates")
+
+    candidates = _indexed(rules, classes).withColumn("confidence", F.lit(None).cast("double"))
     counted = _matches(whole, candidates).groupBy("rule_id").agg(F.count("*").alias("n_labelled"), F.sum("block").alias("n_blocked"))
     sure = counted.withColumn("confidence", F.col("n_blocked") / F.col("n_labelled")).withColumn("rate", F.lit(rate)).filter(
         (F.col("n_labelled") >= least) & (F.col("confidence") >= lift * rate) & _surely_above("n_blocked", "n_labelled", "rate")

@@ -274,6 +274,28 @@ def test_mined_rules_agree_with_brute_force(shared, prose):
         assert confidence is None or abs(got[i].mined - confidence) < 1e-9
 
 
+def test_rules_of_tokens_beyond_a_basket(shared, prose):
+    """Every URL has over ten tokens that block more often than u or v alone; u and v together block nearly always."""
+    rng = prose.rng
+    rows, labels, urls = [], [], []
+    for i in range(500):
+        words = {f"w{w}" for w in "abcdefghijklmnop" if rng.random() < 0.7}
+        hits = {t for t in "uv" if rng.random() < 0.4}
+        block = int(rng.random() < {2: 0.95, 1: 0.04, 0: 0.7}[len(hits)])
+        rows.append((i, f"http://h.org/{'/'.join(sorted(words | hits))}/{i}"))
+        labels.append((i, 1 - block, 0))
+        urls.append((frozenset(words | hits), block))
+    found = judge(
+        shared.createDataFrame(rows, "page_id bigint, url string"), shared.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+        rules=(), support=0.12,
+    )
+    got = {r.page_id: r.mined for r in found.collect()}
+    wanted = brute_mined(urls, 0.12, 1.2)
+    assert sum(w is not None for w in wanted) > 40
+    for i, confidence in enumerate(wanted):
+        assert (got[i] is None) == (confidence is None) and (confidence is None or abs(got[i] - confidence) < 1e-9)
+
+
 def test_long_urls_labelled_often_end_soon(shared):
     long = "http://spam.example.org/" + "/".join(f"w{chr(97 + i % 26)}{'x' * i}" for i in range(30))
     rows = [(i, long) for i in range(60)] + [(100 + i, f"{long}/{i}?k{i % 7}=1") for i in range(60)]
