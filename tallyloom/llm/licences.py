@@ -1,10 +1,12 @@
 """Licence families of paragraphs by a trained classifier, confirmed by comparison with templates.
 
 Paragraphs are runs of lines up to a blank one. Each is judged whole, as notices are often wrapped,
-and each of its lines alone, as a notice of one line may stand in running text. Word n-grams of one and two words, hashed to a sparse vector, go into a
-multinomial logistic regression over the licence families and ``unknown``. It is trained on the
-templates, on pieces of them and on a bounded sample of paragraphs of the corpus: those that hold a
-template's cue, and those without any word like licence. The bound for ``unknown`` is calibrated on
+and each of its lines alone, as a notice of one line may stand in running text. A vector tells which words and pairs of
+neighbours of the templates a paragraph holds, and its length by powers of two; it goes into a
+multinomial logistic regression over the licence families and ``unknown``. That is trained on the
+templates, on pieces of them, on every paragraph of the corpus that holds no word like licence, and on the
+beginning of each of these beside a template. Paragraphs of one vector are one row, so that the
+whole corpus is a table of short rows. The bound for ``unknown`` is calibrated on the quarter of those
 paragraphs that training did not see: a family's probability must be above what unknown
 paragraphs reach. A prediction is confirmed if the paragraph holds enough of the words of one of
 the family's templates. Everything is DataFrame and Spark ML operations.
@@ -12,9 +14,8 @@ the family's templates. Everything is DataFrame and Spark ML operations.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +48,12 @@ TEMPLATES = (
 )
 
 UNKNOWN = "unknown"
-# Texts and paragraphs without a cue that training and calibration draw, at most.
-SAMPLE_DOCS = 4_000
-SAMPLE_ROWS = 20_000
-FEATURES = 1 << 14
+# What the unknown paragraphs weigh together at most, a template being some rows of weight 3; those beside templates, a fifth.
+UNKNOWN_WEIGHT = 15_000
+# Lengths are told apart up to this power of two.
+LENGTHS = 16
+# A quarter of the vectors is kept for the calibration.
+PARTS = 4
 # Share of a template's words that a paragraph must hold to confirm it.
 CONFIRM = 0.6
 
@@ -118,20 +121,45 @@ def _notices(finds: DataFrame) -> DataFrame:
     return kept.groupBy(*KEY).agg(F.array_sort(F.flatten(F.collect_list("told"))).alias("found"))
 
 
-def _training(templates: DataFrame, sample: DataFrame) -> DataFrame:
-    """(words, family): templates whole, without their ends and with corpus words around, and unknown ones."""
+def _vectors(spark: SparkSession) -> CountVectorizerModel:
+    """From ``grams`` to ``features``: the grams of the templates, and lengths. The templates are a fixed table of a few rows."""
+    grams = _templates(spark).select(F.explode(_grams(F.col("words")))).distinct().collect()
+    vocabulary = sorted(row[0] for row in grams) + [f"#{i}" for i in range(LENGTHS + 1)]
+    return CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True)
+
+
+def _told(words: Column) -> Column:
+    """The grams of a paragraph and, as signs that no word has, the powers of two up to its length."""
+    power = F.least(F.floor(F.log2(F.greatest(F.size(words), F.lit(1)).cast("double"))), F.lit(LENGTHS)).cast("int")
+    return F.concat(_grams(words), F.transform(F.sequence(F.lit(0), power), lambda i: F.concat(F.lit("#"), i.cast("string"))))
+
+
+def background(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(family, beside, features): every paragraph without a cue as unknown, and its beginning beside a template.
+
+    Rows alike are one, so copies of a paragraph count once.
+    """
+    spark = docs.sparkSession
+    plain = paragraphs(docs, id_col, text_col).filter(~F.col("paragraph").rlike(_CUE)).select(
+        _words(F.col("paragraph")).alias("plain"), F.pmod(F.xxhash64("paragraph"), F.lit(len(TEMPLATES))).alias("k")
+    )
+    numbered = _templates(spark).withColumn("k", F.monotonically_increasing_id())
+    both = F.array(
+        F.struct(F.lit(UNKNOWN).alias("family"), F.lit(False).alias("beside"), _told(F.col("plain")).alias("grams")),
+        F.struct("family", F.lit(True).alias("beside"), _told(F.concat("words", F.slice("plain", 1, 12))).alias("grams")),
+    )
+    rows = plain.join(F.broadcast(numbered), "k").select(F.inline(both))
+    return _vectors(spark).transform(rows).select("family", "beside", "features").distinct()
+
+
+def _pieces(templates: DataFrame) -> DataFrame:
+    """(family, words): templates whole and without their ends."""
     n = F.size("words")
     cuts = F.array(
         F.col("words"), F.slice("words", 1, F.greatest(F.lit(3), n - 2)), F.slice("words", F.least(F.lit(3), n), n),
         F.slice("words", 1, F.greatest(F.lit(4), (n * 2 / 3).cast("int"))),
     )
-    pure = templates.select("family", F.explode(cuts).alias("words"))
-    unknown = sample.select(F.lit(UNKNOWN).alias("family"), "words")
-    # Every template stands beside a few unknown paragraphs too, as notices do in running text.
-    beside = sample.filter("part < 200").select(F.col("words").alias("other"), (F.col("part") % len(TEMPLATES)).alias("k"))
-    numbered = templates.withColumn("k", F.monotonically_increasing_id())
-    mixed = beside.join(numbered, "k").select("family", F.concat("words", F.slice("other", 1, 12)).alias("words"))
-    return pure.union(mixed.select("family", "words")).union(unknown.select("family", "words"))
+    return templates.select("family", F.explode(cuts).alias("words"))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,30 +176,28 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     space = Workspace(spark)
     templates = _templates(spark)
     lines = paragraphs(docs, id_col, text_col)
-    # The lines of a slice of the texts' hashes that holds SAMPLE_DOCS of them or fewer, by and large.
-    modulus = max(1, -(-docs.count() // SAMPLE_DOCS))
-    part = docs.filter(F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(modulus)) == 0)
-    plain = paragraphs(part, id_col, text_col).filter(~F.col("paragraph").rlike(_CUE)).select("paragraph").distinct()
-    drawn = plain.withColumn("words", _words(F.col("paragraph"))).withColumn(
-        "part", F.pmod(F.xxhash64("paragraph"), F.lit(4000))
-    )
-    sample = space.pin(drawn.orderBy(F.xxhash64("paragraph", F.lit(1))).limit(SAMPLE_ROWS), "sample")
+    vectors = _vectors(spark)
+    rows = background(docs, id_col, text_col).withColumn("part", F.pmod(F.xxhash64("features"), F.lit(PARTS)))
+    rows = space.pin(rows, "background")
+    unseen = rows.filter(~F.col("beside") & (F.col("part") == 0)).select("features")
+    seen = rows.filter(F.col("beside") | (F.col("part") > 0))
+    counts = {row["beside"]: row["count"] for row in seen.groupBy("beside").count().collect()}
+    weight = min(counts.get(False, 0), UNKNOWN_WEIGHT)
+    each = F.when(F.col("beside"), weight / 5 / max(counts.get(True, 0), 1)).otherwise(weight / max(counts.get(False, 0), 1))
     names = sorted({family for family, _ in TEMPLATES}) + [UNKNOWN]
     number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("family")).cast("double") - 1
-    training = space.pin(
-        _training(templates, sample.filter("part < 3000")).select(_grams(F.col("words")).alias("grams"), number.alias("label"))
-        .withColumn("weight", F.when(F.col("label") == len(names) - 1, 1.0).otherwise(3.0)).coalesce(1),
-        "training",
+    pieces = vectors.transform(_pieces(templates).withColumn("grams", _told(F.col("words"))))
+    training = seen.select("features", number.alias("label"), each.alias("weight")).union(
+        pieces.select("features", number.alias("label"), F.lit(3.0).alias("weight"))
     )
-    hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     regression = LogisticRegression(
         maxIter=40, regParam=1e-4, weightCol="weight", family="multinomial", predictionCol=""
     )
-    model = Pipeline(stages=[hashing, regression]).fit(training)
+    model = regression.fit(training)
 
     def scored(table: DataFrame) -> DataFrame:
         """Adds ``family`` and ``score`` of the likeliest family other than unknown."""
-        given = model.transform(table.withColumn("grams", _grams(F.col("words"))))
+        given = model.transform(table)
         chances = F.slice(vector_to_array("probability"), 1, len(names) - 1)
         score = F.array_max("chances")
         family = F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position("chances", score).cast("int"))
@@ -181,17 +207,18 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         return best.select(*table.columns, "best.family", "best.score")
 
-    unseen = scored(sample.filter("part >= 3000")).agg(F.max("score")).first()[0] or 0.0
-    bound = min(max(0.5, 1.1 * unseen), 0.9)
-    space.drop(training)
+    highest = scored(unseen).agg(F.max("score")).first()[0] or 0.0
+    bound = min(max(0.5, 1.1 * highest), 0.9)
+    space.drop(rows)
 
-    words = lines.withColumn("words", _words(F.col("paragraph")))
-    told = scored(words).filter(F.col("score") >= bound).drop("paragraph")
+    words = lines.withColumn("words", _words(F.col("paragraph"))).drop("paragraph")
+    judged = vectors.transform(words.withColumn("grams", _told(F.col("words")))).drop("grams")
+    told = scored(judged).filter(F.col("score") >= bound).drop("features")
     # A fixed table of a few rows.
     near = told.join(F.broadcast(templates.select("family", F.col("words").alias("template"))), "family")
     alike = F.size(F.array_intersect("words", "template")) / F.size(F.array_distinct("template"))
     finds = near.groupBy(*KEY, "at", "line", "family", "score").agg((F.max(alike) >= CONFIRM).alias("confirmed"))
-    rows = _notices(finds)
+    notices = _notices(finds)
     every = docs.select(
         *_key(id_col, text_col), F.col(id_col).cast("bigint").alias("doc_id"),
         F.size(F.filter(
@@ -201,7 +228,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none = F.array().cast("array<struct<at: int, line: int, family: string, score: double, confirmed: boolean>>")
     found = F.coalesce("found", none)
     sure = F.filter("found", lambda x: x["confirmed"])
-    return every.join(rows, KEY, "left").withColumn("found", found).select(
+    return every.join(notices, KEY, "left").withColumn("found", found).select(
         "doc_id", "n_paragraphs", F.size("found").alias("n_licence"), F.size(sure).alias("n_confirmed"),
         F.array_join(F.array_sort(F.array_distinct("found.family")), ",").alias("families"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("confirmed"),

@@ -6,6 +6,7 @@ import gzip
 import itertools
 import lzma
 import math
+import re
 import textwrap
 import time
 import zlib
@@ -15,7 +16,7 @@ from urllib.parse import quote, unquote_to_bytes
 import __spark_entry__ as entry
 import corpus_pipeline
 from tallyloom.llm.language import identify
-from tallyloom.llm.licences import TEMPLATES, scan_licences
+from tallyloom.llm.licences import TEMPLATES, background, scan_licences
 from tallyloom.llm.secrets_scan import KINDS, find_secrets, scan, scan_layers
 from tallyloom.llm.url_rules import DEVIATIONS, MIN_LABELS, judge
 
@@ -332,6 +333,19 @@ def test_licences(shared, prose):
     assert all(got[100 + i].confirmed == family for i, (family, _) in enumerate(TEMPLATES))
 
 
+def test_licence_model_sees_every_paragraph(shared):
+    """8,100 texts, each of a length or of template words of its own: all are in the model's rows, copies once."""
+    known = sorted({w for _, text in TEMPLATES for w in re.findall("[a-z]+", text.lower())} - {"license", "licensed", "permission", "permitted"})
+    known = [w for w in known if not re.search("licen|copyright|gnu|spdx|redistribut|permission", w)][:90]
+    texts = [f"{a} zzz {b}" for a in known for b in known if a <= b] + [f"{a} qqq {b} qqq" for a in known for b in known if a <= b]
+    texts = [t for t in texts if "rights" not in t and "commons" not in t][:8100]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(9000, "The GNU General Public License\n\nthe zzz of\nthe zzz of", "en")]
+    told = background(shared.createDataFrame(rows, DOCS), "doc_id", "text")
+    sets = {(frozenset(t.split()) & set(known), len(t.split()).bit_length()) for t in texts}
+    got = told.filter("NOT beside").collect()
+    assert len(sets) > 6000 and len(got) >= len(sets) and len({r.features for r in got}) == len(got)
+
+
 def test_licences_wrapped(shared, prose):
     rows = [(i, "\n".join(" ".join(prose(20)) for _ in range(4)), "en") for i in range(60)]
     long = [(family, text) for family, text in TEMPLATES if len(text) > 140]
