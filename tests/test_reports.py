@@ -152,3 +152,16 @@ def test_row_order(tables):
     assert falls([r.total_revenue for r in reports.product_performance(*tables[:2], sale_id_unique=True).collect()])
     long = [(r.report_type, r.dimension or "", r.time_period or "", r.metric_name) for r in reports.dynamic_report(*tables, sale_id_unique=True).collect()]
     assert long == sorted(long)
+
+
+def test_top10_does_not_fold_before_a_shuffled_join(spark, sales, products, monkeypatch):
+    from pyspark.sql import functions as F
+    from tallyloom.operators import lookup
+    from tallyloom.plans import reports
+
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    dated = sales.withColumn("sale_date", F.to_date("sale_date"))
+    top = reports.monthly_category_top10(dated, products)
+    assert top._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    got = [(r.month, r.category, r.transactions, r.total_revenue) for r in top.collect()]
+    assert got == [("2024-01", "Electronics", 2, 250.0), ("2024-01", "Home", 1, 50.0)]
