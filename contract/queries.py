@@ -327,12 +327,12 @@ def _store(spark: SparkSession, label: str) -> TableStore:
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History up to 2000, then a batch from 1998 on with dearer amounts, merged by sale id."""
-    staged = views.staged_sales(spark, sf_dir)
+    staged = pin(views.staged_sales(spark, sf_dir), "staged")
     store = _store(spark, "upsert")
-    history = pin(staged.filter(F.col("sale_date") < dt.date(2000, 1, 1)), "history")
+    history = staged.filter(F.col("sale_date") < dt.date(2000, 1, 1))
     store.stage({"sales": store.upsert(SALES, history, "seq", FIRST_LOAD)})
     late = staged.filter(F.col("sale_date") >= dt.date(1998, 1, 1))
-    late = pin(late.withColumn("amount", (F.col("amount") + 1).cast("decimal(10,2)")), "late")
+    late = late.withColumn("amount", (F.col("amount") + 1).cast("decimal(10,2)"))
     store.stage({"sales": store.upsert(SALES, late, "seq", LATER_LOAD)})
     store.publish(LATER_LOAD)
     return _amounts(TableStore(spark, store.root).read(SALES)).withColumn(
@@ -365,18 +365,18 @@ def upsert_unique_email(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _named(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
     """A live report, made after a first load, read after another one."""
-    staged, database = views.staged_sales(spark, sf_dir), f"live_{uuid.uuid4().hex}"
+    staged, database = pin(views.staged_sales(spark, sf_dir), "staged"), f"live_{uuid.uuid4().hex}"
     store = TableStore(spark, scratch_path(spark, "live"), database)
     products = pin(views.products(spark, sf_dir).withColumn("seq", F.col("product_id")), "products")
     customers = views.customers(spark, sf_dir).withColumn("email", F.lit(None).cast("string"))
     customers = pin(customers.withColumn("seq", F.col("customer_id")), "customers")
-    history = pin(staged.filter(F.col("sale_date") < dt.date(2000, 1, 1)), "history")
+    history = staged.filter(F.col("sale_date") < dt.date(2000, 1, 1))
     for spec, rows in ((PRODUCTS, products), (CUSTOMERS, customers), (SALES, history)):
         store.stage({spec.name: store.upsert(spec, rows, "seq", FIRST_LOAD)})
     store.publish(FIRST_LOAD)
     store.catalog.view(report, live.REPORTS[report](*(f"{database}.{s.name}" for s in (SALES, PRODUCTS, CUSTOMERS))))
     late = staged.filter(F.col("sale_date") >= dt.date(1998, 1, 1))
-    late = pin(late.withColumn("amount", (F.col("amount") + 1).cast("decimal(10,2)")), "late")
+    late = late.withColumn("amount", (F.col("amount") + 1).cast("decimal(10,2)"))
     store.stage({SALES.name: store.upsert(SALES, late, "seq", LATER_LOAD)})
     store.publish(LATER_LOAD)
     return spark.table(f"{database}.{report}")

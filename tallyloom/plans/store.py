@@ -191,7 +191,8 @@ class TableStore:
             if full:
                 rows = rows.union(self.read(index))
             path = self._new_folder(index.name)
-            rows.distinct().repartitionByRange(column).sortWithinPartitions(column).write.parquet(path)
+            # Dealt by the key first: alike rows lie together then, and need no shuffle of their own.
+            rows.repartitionByRange(column).distinct().sortWithinPartitions(column).write.parquet(path)
             gone = {s: None for s in held} if full else {}
             self.stage({index.name: {**gone, f"{WHOLE}{_BATCH}{uuid.uuid4().hex}": path}})
 
