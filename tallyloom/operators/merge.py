@@ -57,8 +57,8 @@ def upsert(
 def require_new_keys(target: DataFrame, staged: DataFrame, spec: TableSpec) -> None:
     """An append may repeat no key or unique value, neither stored ones nor its own."""
     for column in spec.keys:
-        values = staged.filter(F.col(column).isNotNull()).groupBy(column).count()
-        if not values.filter("count > 1").isEmpty():
+        values = staged.select(column).filter(F.col(column).isNotNull())
+        if not values.groupBy(column).count().filter("count > 1").isEmpty():
             raise ConstraintViolation(f"constraint failed: {spec.name}.{column} repeats in the batch")
         if not values.join(target.select(column), column, "left_semi").isEmpty():
             raise ConstraintViolation(f"constraint failed: {spec.name}.{column} is stored already")

@@ -108,13 +108,16 @@ def observed(counts: Mapping[tuple[str, str, str], Column], seen: Mapping[str, i
 def duplicates(df: DataFrame, table: str) -> DataFrame:
     """(check_type, column_name, metric, n): rows beyond the first of each value of the unique columns, null a value.
 
-    All columns in one pass, summed up before the shuffle.
+    All columns in one pass, summed up before the shuffle; a whole number that is alone stays one.
     """
     unique = [c for c in RULES.get(table, {"unique": []})["unique"] if c in df.columns]
     if not unique:
         return df.sparkSession.createDataFrame([], COUNTERS)
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in unique]
-    values = df.select(F.explode(F.array(*cells)).alias("v")).select("v.*").groupBy("column_name", "value").count()
+    if len(unique) == 1 and isinstance(df.schema[unique[0]].dataType, T.IntegralType):
+        values = df.groupBy(unique[0]).count().withColumn("column_name", F.lit(unique[0]))
+    else:
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in unique]
+        values = df.select(F.explode(F.array(*cells)).alias("v")).select("v.*").groupBy("column_name", "value").count()
 
     def extra(name: str) -> Column:
         return F.sum(F.when(F.col("column_name") == name, F.col("count") - 1))

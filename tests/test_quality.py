@@ -103,3 +103,13 @@ def test_future_date_boundary(spark):
     df = spark.createDataFrame([(dt.date(2025, 6, 1),), (dt.date(2025, 6, 2),)], "sale_date date")
     assert quality.validate(df, "sales", NOW)["custom_checks"].details == {
         "issues": ["1 records have future sale dates"]}
+
+
+def test_a_lone_whole_number_is_counted_as_it_is(spark):
+    from tallyloom.operators import quality
+
+    rows = spark.createDataFrame([(1,), (1,), (None,), (None,), (None,), (2,)], "sale_id bigint")
+    counts = quality.duplicates(rows, "sales")
+    assert [tuple(r) for r in counts.collect()] == [("unique_columns", "sale_id", "duplicates", 3)]
+    assert "cast(sale_id" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert quality.duplicates(rows.limit(0), "sales").first()["n"] == 0
