@@ -6,7 +6,8 @@ neighbours of the templates a paragraph holds, and its length by powers of two;
 multinomial logistic regression over the licence families and ``unknown``. That is trained on the
 templates, on pieces of them, on every paragraph of the corpus that holds no word like licence, and on the
 beginning of each of these beside a template. Paragraphs of one vector are one row, so that the
-whole corpus is a table of short rows. The bound for ``unknown`` is calibrated on the quarter of those
+whole corpus is a table of short rows. Texts are cut into words once: the lines' words, those of no template left
+empty, make up the paragraph's, and all that follows reads the vectors. The bound for ``unknown`` is calibrated on the quarter of those
 paragraphs that training did not see: a family's probability must be above what unknown
 paragraphs reach. A prediction is confirmed if the paragraph holds enough of the words of one of
 the family's templates. Everything is DataFrame and Spark ML operations.
@@ -14,6 +15,9 @@ the family's templates. Everything is DataFrame and Spark ML operations.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -56,26 +60,22 @@ LENGTHS = 16
 PARTS = 4
 # Share of a template's words that a paragraph must hold to confirm it.
 CONFIRM = 0.6
+# Words of a paragraph's beginning that stand beside a template.
+BESIDE = 12
 
 LINE_END = r"\r\n|[\n\r]"
 # Atomic, so that the two characters of one line end are not taken for two.
 BLANK_LINES = r"(?>\r\n|[\n\r])(?:[^\S\r\n]*+(?>\r\n|[\n\r]))+"
 KEY = ["id_key", "fp"]
 
-_CUE = r"(?i)licen[sc]|copyright|creative commons|gnu |spdx|redistribut|rights reserved|permission"
+# No cue holds a line end, so a paragraph has one if a line of it has.
+_CUES = ("licens", "licenc", "copyright", "creative commons", "gnu ", "spdx", "redistribut", "rights reserved", "permission")
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _grams(words: Column) -> Column:
-    """Words and pairs of neighbours."""
-    n = F.size(words)
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.concat(words, pairs)
-
-
 def _templates(spark: SparkSession) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("template")) for f, t in TEMPLATES])
     table = spark.range(0, 1, 1, 1).select(F.explode(rows).alias("t")).select("t.*")
@@ -87,19 +87,36 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.xxhash64(F.col(id_col)).alias("id_key"), F.xxhash64(F.col(text_col).cast("string")).alias("fp")]
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id_key, fp, at, line, paragraph): paragraphs that hold a letter, and their lines if they have several.
+def paragraphs(docs: DataFrame, id_col: str, text_col: str, known: list[str]) -> DataFrame:
+    """(id_key, fp, at, line, cue, k, words): paragraphs that hold a letter, and their lines if they have several.
 
     ``at`` is the number of the paragraph and ``line`` that of the line in it, from 0; null for a whole paragraph.
+    ``words`` has an empty string for every word that is none of the ``known``; ``k`` is a number of a template, taken by hash.
     """
+    def number(text: Column) -> Column:
+        return F.pmod(F.xxhash64(text), F.lit(len(TEMPLATES))).cast("int").alias("k")
+
+    def read(line: Column) -> Column:
+        words = F.transform(_words(line["low"]), lambda w: F.when(w.isin(known), w).otherwise(F.lit("")))
+        cue = reduce(or_, [F.contains(line["low"], F.lit(c)) for c in _CUES])
+        return F.struct(
+            line["line"].alias("line"), cue.alias("cue"), number(line["text"]), words.alias("words"), line["text"].rlike(r"\p{L}").alias("lettered")
+        )
+
     blocks = docs.select(
         *_key(id_col, text_col), F.posexplode(F.split(F.col(text_col).cast("string"), BLANK_LINES)).alias("at", "block"),
     ).filter(F.col("block").rlike(r"\p{L}"))
-    lines = F.split("block", LINE_END)
-    each = F.transform(lines, lambda text, i: F.struct(i.alias("line"), text.alias("paragraph")))
-    whole = F.array(F.struct(F.lit(None).cast("int").alias("line"), F.col("block").alias("paragraph")))
-    parts = blocks.select("id_key", "fp", "at", F.explode(F.when(F.size(lines) > 1, F.concat(whole, each)).otherwise(whole)).alias("part"))
-    return parts.select("id_key", "fp", "at", "part.line", "part.paragraph").filter(F.col("paragraph").rlike(r"\p{L}"))
+    lowered = F.transform(
+        F.split("block", LINE_END), lambda text, i: F.struct(i.alias("line"), text.alias("text"), F.lower(text).alias("low"))
+    )
+    lines = blocks.select("id_key", "fp", "at", number(F.col("block")), F.transform(lowered, read).alias("lines"))
+    whole = F.array(F.struct(
+        F.lit(None).cast("int").alias("line"), F.exists("lines", lambda x: x["cue"]).alias("cue"), F.col("k"),
+        F.flatten(F.transform("lines", lambda x: x["words"])).alias("words"), F.lit(True).alias("lettered"),
+    ))
+    lettered = F.filter("lines", lambda x: x["lettered"])
+    parts = lines.select("id_key", "fp", "at", F.explode(F.when(F.size("lines") > 1, F.concat(whole, lettered)).otherwise(whole)).alias("part"))
+    return parts.select("id_key", "fp", "at", "part.line", "part.cue", "part.k", "part.words")
 
 
 def _notices(finds: DataFrame) -> DataFrame:
@@ -122,16 +139,48 @@ def _notices(finds: DataFrame) -> DataFrame:
 
 
 def _vectors(spark: SparkSession) -> CountVectorizerModel:
-    """From ``grams`` to ``features``: the grams of the templates, and lengths. The templates are a fixed table of a few rows."""
-    grams = _templates(spark).select(F.explode(_grams(F.col("words")))).distinct().collect()
-    vocabulary = sorted(row[0] for row in grams) + [f"#{i}" for i in range(LENGTHS + 1)]
+    """From ``grams`` to ``features``: words and pairs of neighbours of the templates, a fixed table of a few rows, and lengths."""
+    grams = _grams(_templates(spark)).select(F.explode("grams")).distinct().collect()
+    vocabulary = sorted(row[0] for row in grams if not row[0].startswith("#")) + [f"#{i}" for i in range(LENGTHS + 1)]
     return CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True)
 
 
-def _told(words: Column) -> Column:
-    """The grams of a paragraph and, as signs that no word has, the powers of two up to its length."""
-    power = F.least(F.floor(F.log2(F.greatest(F.size(words), F.lit(1)).cast("double"))), F.lit(LENGTHS)).cast("int")
-    return F.concat(_grams(words), F.transform(F.sequence(F.lit(0), power), lambda i: F.concat(F.lit("#"), i.cast("string"))))
+def _known(vectors: CountVectorizerModel) -> list[str]:
+    return [gram for gram in vectors.vocabulary if " " not in gram and not gram.startswith("#")]
+
+
+def _grams(table: DataFrame) -> DataFrame:
+    """Adds ``has``, the distinct words of ``words`` that are not empty, and ``grams``.
+
+    Those are the same words, pairs of neighbours and, as signs that no word has, the powers of two up to the length.
+    """
+    def ahead(word: Column, i: Column) -> Column:
+        following = F.get("words", i + 1)
+        return F.when((word != "") & (following != ""), F.concat(word, F.lit(" "), following)).otherwise(word)
+
+    power = F.least(F.floor(F.log2(F.greatest(F.size("words"), F.lit(1)).cast("double"))), F.lit(LENGTHS)).cast("int")
+    signs = F.transform(F.sequence(F.lit(0), power), lambda i: F.concat(F.lit("#"), i.cast("string")))
+    # A word, or a word and the next.
+    runs = table.withColumn("runs", F.array_distinct(F.filter(F.transform("words", ahead), lambda w: w != "")))
+    has = runs.withColumn("has", F.array_distinct(F.transform("runs", lambda w: F.substring_index(w, " ", 1))))
+    return has.withColumn("grams", F.concat("has", F.filter("runs", lambda w: F.contains(w, F.lit(" "))), signs)).drop("runs")
+
+
+def _told(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id_key, fp, at, line, cue, k, has, first, features) of paragraphs and lines; ``first`` are the beginning's words."""
+    vectors = _vectors(docs.sparkSession)
+    parts = vectors.transform(_grams(paragraphs(docs, id_col, text_col, _known(vectors))))
+    return parts.select(*KEY, "at", "line", "cue", "k", "has", F.slice("words", 1, BESIDE).alias("first"), "features")
+
+
+def _background(told: DataFrame) -> DataFrame:
+    spark = told.sparkSession
+    plain = told.filter(~F.col("cue"))
+    numbered = _templates(spark).withColumn("k", F.monotonically_increasing_id().cast("int")).withColumnRenamed("words", "notice")
+    beside = plain.select("k", "first").distinct().join(F.broadcast(numbered), "k").select("family", F.concat("notice", "first").alias("words"))
+    return plain.select(F.lit(UNKNOWN).alias("family"), F.lit(False).alias("beside"), "features").union(
+        _vectors(spark).transform(_grams(beside)).select("family", F.lit(True).alias("beside"), "features")
+    ).distinct()
 
 
 def background(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -139,17 +188,7 @@ def background(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Rows alike are one, so copies of a paragraph count once.
     """
-    spark = docs.sparkSession
-    plain = paragraphs(docs, id_col, text_col).filter(~F.col("paragraph").rlike(_CUE)).select(
-        _words(F.col("paragraph")).alias("plain"), F.pmod(F.xxhash64("paragraph"), F.lit(len(TEMPLATES))).alias("k")
-    )
-    numbered = _templates(spark).withColumn("k", F.monotonically_increasing_id())
-    both = F.array(
-        F.struct(F.lit(UNKNOWN).alias("family"), F.lit(False).alias("beside"), _told(F.col("plain")).alias("grams")),
-        F.struct("family", F.lit(True).alias("beside"), _told(F.concat("words", F.slice("plain", 1, 12))).alias("grams")),
-    )
-    rows = plain.join(F.broadcast(numbered), "k").select(F.inline(both))
-    return _vectors(spark).transform(rows).select("family", "beside", "features").distinct()
+    return _background(_told(docs, id_col, text_col))
 
 
 def _pieces(templates: DataFrame) -> DataFrame:
@@ -175,9 +214,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     space = Workspace(spark)
     templates = _templates(spark)
-    lines = paragraphs(docs, id_col, text_col)
     vectors = _vectors(spark)
-    rows = background(docs, id_col, text_col).withColumn("part", F.pmod(F.xxhash64("features"), F.lit(PARTS)))
+    parts = space.pin(_told(docs, id_col, text_col), "told")
+    rows = _background(parts).withColumn("part", F.pmod(F.xxhash64("features"), F.lit(PARTS)))
     rows = space.pin(rows, "background")
     unseen = rows.filter(~F.col("beside") & (F.col("part") == 0)).select("features")
     seen = rows.filter(F.col("beside") | (F.col("part") > 0))
@@ -186,7 +225,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     each = F.when(F.col("beside"), weight / 5 / max(counts.get(True, 0), 1)).otherwise(weight / max(counts.get(False, 0), 1))
     names = sorted({family for family, _ in TEMPLATES}) + [UNKNOWN]
     number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("family")).cast("double") - 1
-    pieces = vectors.transform(_pieces(templates).withColumn("grams", _told(F.col("words"))))
+    pieces = vectors.transform(_grams(_pieces(templates)))
     training = seen.select("features", number.alias("label"), each.alias("weight")).union(
         pieces.select("features", number.alias("label"), F.lit(3.0).alias("weight"))
     )
@@ -211,13 +250,13 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bound = min(max(0.5, 1.1 * highest), 0.9)
     space.drop(rows)
 
-    words = lines.withColumn("words", _words(F.col("paragraph"))).drop("paragraph")
-    judged = vectors.transform(words.withColumn("grams", _told(F.col("words")))).drop("grams")
-    told = scored(judged).filter(F.col("score") >= bound).drop("features")
-    # A fixed table of a few rows.
+    told = scored(parts.select(*KEY, "at", "line", "has", "features")).filter(F.col("score") >= bound).drop("features")
+    # A fixed table of a few rows. All its words are known ones.
     near = told.join(F.broadcast(templates.select("family", F.col("words").alias("template"))), "family")
-    alike = F.size(F.array_intersect("words", "template")) / F.size(F.array_distinct("template"))
+    alike = F.size(F.array_intersect("has", "template")) / F.size(F.array_distinct("template"))
     finds = near.groupBy(*KEY, "at", "line", "family", "score").agg((F.max(alike) >= CONFIRM).alias("confirmed"))
+    finds = space.pin(finds, "finds")
+    space.drop(parts)
     notices = _notices(finds)
     every = docs.select(
         *_key(id_col, text_col), F.col(id_col).cast("bigint").alias("doc_id"),

@@ -15,6 +15,7 @@ from urllib.parse import quote, unquote_to_bytes
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tallyloom.llm import licences
 from tallyloom.llm.language import identify
 from tallyloom.llm.licences import TEMPLATES, background, scan_licences
 from tallyloom.llm.secrets_scan import KINDS, find_secrets, scan, scan_layers
@@ -346,6 +347,34 @@ def test_licence_model_sees_every_paragraph(shared):
     assert len(sets) > 6000 and len(got) >= len(sets) and len({r.features for r in got}) == len(got)
 
 
+def test_licence_texts_are_cut_once(shared, monkeypatch):
+    """The texts are cut into words once; a paragraph's vector has the words, pairs, length and cue a plain reading finds."""
+    def split(text):
+        return [w for w in re.split(r"[\W_]+", text.lower()) if w]
+
+    texts = [
+        "The terms\r\nof the zzz\r\r\n\n12 34\nfoo", "the\nof\n\n \t\nand the 12\n 99 \nwork of the work", "---\nthe terms\n---", "\n\n", None,
+        "Permission\nis HEREBY\ngranted", "gnu\npublic license", "the work is Licensed", "GNU general\npublic", "\u212a the \u0130 of\n\u03a3\u03a3 work", "the " * 70,
+    ]
+    cuts, told = [], []
+    monkeypatch.setattr(licences, "paragraphs", lambda *a, kept=licences.paragraphs: cuts.append(a) or kept(*a))
+    docs = shared.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], DOCS)
+    assert scan_licences(docs).count() == len(texts) and len(cuts) == 1
+    vectors = licences._vectors(shared)
+    for text in texts:
+        for block in re.split(r"(?>\r\n|[\r\n])(?:[^\S\r\n]*+(?>\r\n|[\r\n]))+", text or ""):
+            lines = re.split(r"\r\n|[\r\n]", block)
+            for part in [block] + (lines if len(lines) > 1 else []):
+                if re.search(r"[^\W\d_]", part):
+                    words = split(part)
+                    signs = {f"#{i}" for i in range(max(len(words), 1).bit_length())}
+                    grams = {*words, *map(" ".join, itertools.pairwise(words)), *signs} & set(vectors.vocabulary)
+                    cue = re.search("(?ia:licen[sc]|copyright|creative commons|gnu |spdx|redistribut|rights reserved|permission)", part)
+                    told.append((tuple(sorted(grams)), bool(cue)))
+    got = licences._told(docs, "doc_id", "text").select("features", "cue").collect()
+    assert sorted((tuple(sorted(vectors.vocabulary[i] for i in r.features.indices)), r.cue) for r in got) == sorted(told)
+
+
 def test_licences_wrapped(shared, prose):
     rows = [(i, "\n".join(" ".join(prose(20)) for _ in range(4)), "en") for i in range(60)]
     long = [(family, text) for family, text in TEMPLATES if len(text) > 140]
